@@ -1,4 +1,4 @@
 """All registered queries with their DuckDB counterparts."""
 
-from tidelake.plans.registered import views  # noqa: F401
+from tidelake.plans.registered import loads, operators, views  # noqa: F401
 from tidelake.plans.registered.registry import ORACLES, QUERIES  # noqa: F401

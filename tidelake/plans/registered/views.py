@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tidelake.plans.registered.registry import registered, rounded
 from tidelake.plans.standins import StandIns
 
@@ -91,25 +93,19 @@ CTE = {
 }
 
 
-def with_ctes(body: str, *names: str) -> str:
-    """``body`` after the named common table expressions and those they refer to."""
+def sql(body: str, **local: str) -> str:
+    """``body`` after the common table expressions it refers to, directly or through others."""
+    known = {**CTE, **local}
     needed: list[str] = []
 
-    def need(name: str) -> None:
-        for other in CTE:
-            if other != name and other in CTE[name]:
-                need(other)
-        if name not in needed:
-            needed.append(name)
-
-    for name in names:
-        need(name)
-    return "WITH " + ", ".join(f"{n} AS ({CTE[n]})" for n in needed) + "\n" + body
-
+    def need(text: str) -> None:
+        for name in known:
+            if name not in needed and re.search(rf"\b{name}\b", text):
+                need(known[name])
+                needed.append(name)
 
-def sql(body: str) -> str:
-    import re
-    return with_ctes(body, *[n for n in CTE if re.search(rf"\b{n}\b", body)])
+    need(body)
+    return "WITH " + ", ".join(f"{name} AS ({known[name]})" for name in needed) + "\n" + body
 
 
 @registered("returns_daily", sql("SELECT symbol, asset_class_id, date, close, volume, ret_1d FROM returns"))

@@ -16,6 +16,8 @@ from tidelake.plans import warehouse
 from tidelake.plans.reference import unknown_instrument
 from tidelake.plans.views import Star, Views
 
+TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+               "pages", "benchmark", "labels", "conversations"]
 INDICATORS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
