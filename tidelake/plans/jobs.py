@@ -178,6 +178,23 @@ def standard_outputs(inputs: Mapping[str, Sequence[Callable[[], DataFrame]]], in
     return [Output(name, inputs.get(name, ()), build, required) for name, (build, required) in builders.items()]
 
 
+def summarise_sources(spark: SparkSession, root: str, runs: str) -> DataFrame:
+    """``(source, bronze_keys, silver_rows)`` of all known sources: run records against silver tables.
+
+    The silver tables that exist are scanned as one union of tagged rows, not one by one.
+    """
+    tagged = []
+    for source in catalog.SOURCES:
+        name = {"yahoo": "silver.market_ohlcv", "worldbank": "silver.macro_observations"}.get(source, f"silver.{source}")
+        try:
+            tagged.append(catalog.read_table(spark, root, name).select(F.lit(source).alias("source")))
+        except PySparkException:
+            continue
+    sources = spark.createDataFrame([(s,) for s in catalog.SOURCES], "source string")
+    silver = aggregates.union_all(tagged) if tagged else sources.limit(0)
+    return aggregates.source_summary(sources, writers.read_run_records(spark, runs), silver)
+
+
 # --- warehouse and catalog ------------------------------------------------------------------
 
 FACT_LAYOUT = {
