@@ -178,12 +178,19 @@ def test_dense_keys_of_nothing(spark):
     assert keys.with_dense_key(empty, ["symbol"], "id", spark.createDataFrame([(3,)], "id bigint")).count() == 0
 
 
-def test_salted_lookup_equals_plain_join(spark):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_salted_lookup_equals_plain_join(spark, threshold):
     rng = random.Random(7)
     facts = spark.createDataFrame([(0 if rng.random() < 0.5 else rng.randrange(30), i) for i in range(4000)], "k int, v int")
-    dimension = spark.createDataFrame([(k, f"n{k}") for k in range(0, 30, 2)], "k int, name string")
-    salted = joins.salted_lookup(facts, dimension, "k")
-    assert tuples(salted, "k", "v", "name") == tuples(facts.join(dimension, "k"), "k", "v", "name")
+    dimension = spark.createDataFrame([(k, f"n{k}") for k in range(0, 30, 2)] + [(4, "again")], "k int, name string")
+    expected = tuples(facts.join(dimension, "k"), "k", "v", "name")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        salted = joins.salted_lookup(facts, dimension, "k", rows_per_task=100)
+        assert tuples(salted, "k", "v", "name") == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_insert_or_ignore(spark):

@@ -104,23 +104,31 @@ def safe_key(text: Column | str) -> Column:
 
 
 # --- time -------------------------------------------------------------------
-# These stay in TIMESTAMP_NTZ, so the result does not depend on the session zone.
+# None of these depends on the session zone: wall-clock values stay TIMESTAMP_NTZ.
 
 def epoch_to_timestamp(seconds: Column | str) -> Column:
     return F.timestamp_add("SECOND", _col(seconds).cast("bigint"), F.expr(EPOCH_START))
 
 
+def _seconds_since_epoch(ts: Column | str) -> Column:
+    return (_col(ts) - F.expr(EPOCH_START)).cast("interval second").cast("decimal(20,6)")
+
+
 def timestamp_to_epoch(ts: Column | str) -> Column:
-    return F.timestamp_diff("SECOND", F.expr(EPOCH_START), _col(ts))
+    return F.floor(_seconds_since_epoch(ts)).cast("bigint")
 
 
 def timestamp_to_micros(ts: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_START), _col(ts))
+    return (_seconds_since_epoch(ts) * 1_000_000).cast("bigint")
+
+
+def epoch_date(seconds: Column | str) -> Column:
+    return F.date_from_unix_date(F.floor(_col(seconds) / 86_400).cast("int"))
 
 
 def exchange_date(seconds: Column | str, zone: str = EXCHANGE_ZONE) -> Column:
     """Calendar date at the exchange for an epoch in seconds."""
-    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), epoch_to_timestamp(seconds)))
+    return epoch_date(F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(_col(seconds)), zone)))
 
 
 # --- ordering ---------------------------------------------------------------

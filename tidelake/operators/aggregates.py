@@ -116,12 +116,25 @@ def portfolio_total(position_rows: DataFrame) -> DataFrame:
     return position_rows.agg(F.sum("pnl").alias("total_pnl"))
 
 
-def schema_summary(tables: Mapping[str, DataFrame]) -> list[tuple[str, int, str, str]]:
+def schema_rows(tables: Mapping[str, DataFrame]) -> list[tuple[str, int, str, str]]:
     """``(table, position, column, type)`` for every column; reads schemas only."""
     return [(name, i, f.name, catalog_type(f.dataType.simpleString()))
             for name, table in tables.items() for i, f in enumerate(table.schema.fields, 1)]
 
 
+def schema_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, position, column_name, type, filled_rows)``; one aggregate per table."""
+    def one(name: str, table: DataFrame) -> DataFrame:
+        counts = table.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in table.columns])
+        columns = F.array(*[F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+            F.lit(catalog_type(f.dataType.simpleString())).alias("type"), F.col(f"`{f.name}`").alias("filled_rows"))
+            for i, f in enumerate(table.schema.fields, 1)])
+        return counts.select(F.lit(name).alias("table_name"), F.inline(columns))
+
+    return union_all([one(name, table) for name, table in tables.items()])
+
+
 def catalog_type(spark_type: str) -> str:
     """Type name in the exported catalog; anything without a scalar type is a string."""
     plain = spark_type.split("(")[0]

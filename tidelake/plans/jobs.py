@@ -231,7 +231,7 @@ def schemas_of(star: Star) -> dict[str, str]:
 
 def export_catalog(spark: SparkSession, tables: Mapping[str, DataFrame], database: str, path: str) -> DataFrame:
     """Catalog of tables and columns as JSON, one table per line; returns what was written."""
-    columns = spark.createDataFrame(aggregates.schema_summary(tables),
+    columns = spark.createDataFrame(aggregates.schema_rows(tables),
                                     "table string, position int, column string, type string")
     described = (columns.groupBy(F.lit(database).alias("database"), "table")
                  .agg(F.sort_array(F.collect_list(F.struct("position", "column", "type"))).alias("columns")))

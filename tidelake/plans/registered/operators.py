@@ -8,7 +8,7 @@ from tidelake import functions as fn
 from tidelake.operators import aggregates, dedup, history, joins, keys, quality, series
 from tidelake.plans.registered.registry import registered, rounded
 from tidelake.plans.registered.views import sql
-from tidelake.plans.standins import TABLE_NAMES, StandIns
+from tidelake.plans.standins import TABLE_COLUMNS, TABLE_NAMES, StandIns
 from tidelake.sources.writers import with_fixed_prices
 
 NEWEST_LINE = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
@@ -327,16 +327,20 @@ def source_summary(spark, sf_dir):
     return aggregates.source_summary(sources, runs, silver)
 
 
-@registered("schema_summary", """
+FILLED_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{column}' AS column_name, count({column}) AS filled_rows FROM {name}"
+    for name, columns in TABLE_COLUMNS.items() for column in columns.split())
+
+
+@registered("schema_summary", f"""
     SELECT table_name, CAST(row_number() OVER (PARTITION BY table_name ORDER BY column_index) AS INT) AS position,
         column_name, CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int'
-        WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp' ELSE 'string' END AS type
-    FROM duckdb_columns() WHERE NOT internal AND table_name IN ("""
-    + ", ".join(f"'{t}'" for t in TABLE_NAMES) + ")")
+        WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp' ELSE 'string' END AS type,
+        filled_rows
+    FROM duckdb_columns() JOIN ({FILLED_ROWS}) USING (table_name, column_name) WHERE NOT internal""")
 def schema_summary(spark, sf_dir):
     tables = StandIns(spark, sf_dir)
-    summary = aggregates.schema_summary({t: tables.read(t) for t in TABLE_NAMES})
-    return spark.createDataFrame(summary, "table_name string, position int, column_name string, type string")
+    return aggregates.schema_summary({t: tables.read(t) for t in TABLE_NAMES})
 
 
 # --- series on raw tables --------------------------------------------------------

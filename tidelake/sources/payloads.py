@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.functions import exchange_date
+from tidelake.functions import epoch_date, exchange_date, leading_number, period_type
 from tidelake.operators.dedup import keep_latest
 from tidelake.operators.joins import salted_lookup
 
@@ -92,51 +92,46 @@ def kline_bars(payloads: DataFrame) -> DataFrame:
     lines = payloads.select("symbol", F.explode(F.from_json("raw", "array<array<string>>")).alias("k"))
     opened = number(0, "bigint")
     return lines.where(opened.isNotNull()).select(
-        "symbol", F.to_date(F.timestamp_add("MILLISECOND", opened, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))).alias("date"),
-        opened.alias("epoch"), number(1).alias("open"), number(2).alias("high"), number(3).alias("low"),
+        "symbol", epoch_date(opened / 1000).alias("date"), opened.alias("epoch"), number(1).alias("open"), number(2).alias("high"), number(3).alias("low"),
         number(4).alias("close"), number(5).alias("volume"), number(7).alias("quote_volume"),
         number(8, "bigint").alias("trades"))
 
 
 # --- macro pages ----------------------------------------------------------------
 
-def _envelope(payloads: DataFrame, kind: str) -> DataFrame:
+def _envelope(payloads: DataFrame, records: str | None = None) -> DataFrame:
     """Split the two-element array ``[page description, records]``."""
-    parts = F.from_json("raw", "array<string>")
-    return (payloads.withColumn("_parts", parts)
-            .withColumn("_page", F.from_json(F.get("_parts", F.lit(0)), PAGE))
-            .withColumn("_records", F.from_json(F.get("_parts", F.lit(1)), kind))
-            .drop("_parts"))
+    page = F.from_json(F.get_json_object("raw", "$[0]"), PAGE).alias("_page")
+    rows = [] if records is None else [F.from_json(F.get_json_object("raw", "$[1]"), records).alias("_records")]
+    return payloads.select("*", page, *rows)
 
 
 def observation_points(payloads: DataFrame) -> DataFrame:
     """``(batch, raw)`` result pages to points carrying ``_lastupdated`` and ``_sourceid``.
 
     All points of a batch carry the stamp of its first page. A page without records
-    gives no rows. The stamps are joined back by batch with salting, since one batch may
-    hold a large part of all pages.
+    gives no rows. The stamps are joined to the unparsed pages, by batch and salted, since
+    one batch may hold a large part of all pages.
     """
-    pages = _envelope(payloads.select("batch", "raw"), POINTS)
-    first = keep_latest(
-        pages.select("batch", "_page.page", F.col("_page.lastupdated").alias("_lastupdated"),
-                     F.col("_page.sourceid").alias("_sourceid")),
+    pages = payloads.select("batch", "raw")
+    stamps = keep_latest(
+        _envelope(pages).select("batch", "_page.page", F.col("_page.lastupdated").alias("_lastupdated"),
+                                F.col("_page.sourceid").alias("_sourceid")),
         ["batch"], [F.col("page").asc_nulls_last()]).drop("page")
-    stamped = salted_lookup(pages.select("batch", "_records"), first, "batch")
+    stamped = _envelope(salted_lookup(pages, stamps, "batch"), POINTS)
     return stamped.select("batch", F.explode("_records").alias("p"), "_lastupdated", "_sourceid").select(
         "batch", "p.*", "_lastupdated", "_sourceid")
 
 
 def page_metadata(payloads: DataFrame) -> DataFrame:
     """Run bookkeeping per batch: ``(batch, pages, total, lastupdated)`` of the first page."""
-    pages = _envelope(payloads.select("batch", "raw"), POINTS).select("batch", "_page.*")
+    pages = _envelope(payloads.select("batch", "raw")).select("batch", "_page.*")
     return keep_latest(pages, ["batch"], [F.col("page").asc_nulls_last()]).select(
         "batch", "pages", "total", "lastupdated")
 
 
 def observations(points: DataFrame, corrected_periods: bool = False) -> DataFrame:
     """Points, as stored line by line in bronze, to the 14 silver columns."""
-    from tidelake.functions import leading_number, period_type
-
     return points.select(
         F.col("indicator.id").alias("indicator_id"), F.col("indicator.value").alias("indicator_name"),
         F.col("country.id").alias("country_id"), F.col("country.value").alias("country_name"),
