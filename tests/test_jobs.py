@@ -105,7 +105,7 @@ def test_warehouse_round_trip_and_sql(spark, tmp_path):
     register_views(spark, stored)
     text = "SELECT symbol, max(vol_30d_annualized) AS v FROM gold_vw_volatility_30d GROUP BY symbol ORDER BY v DESC LIMIT 3"
     assert adhoc.query(spark, text).count() == 3
-    assert len(VIEW_NAMES) == 31 and all(getattr(Views(stored), a).columns for a in VIEW_NAMES.values())
+    assert len(VIEW_NAMES) == 33 and all(getattr(Views(stored), a).columns for a in VIEW_NAMES.values())
 
 
 def test_published_databases(spark, tmp_path):
@@ -121,3 +121,33 @@ def test_catalog_export(spark, tmp_path):
     assert [(c["name"], c["type"]) for c in listed["dim_currency"]] == [
         ("currency_id", "int"), ("currency_code", "string"), ("currency_name", "string")]
     assert spark.read.json(str(tmp_path / "c")).count() == 2
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tidelake.__main__ import main
+    bronze_bars(tmp_path)
+    put(tmp_path, "bronze/worldbank/indicator=A/date=2022/data.ndjson", POINT % ("2022", "1.0", "2024-01-01"))
+    main(["--root", str(tmp_path), "merge"])
+    main(["--root", str(tmp_path), "merge"])
+    main(["--root", str(tmp_path), "query", "SELECT symbol, count(*) AS bars FROM silver_market_ohlcv GROUP BY symbol"])
+    printed = capsys.readouterr().out
+    assert "market/ohlcv: merged" in printed and "macro/observations: unchanged" in printed and "MSFT" in printed
+    main(["--root", str(tmp_path), "tables"])
+    assert "silver.market_ohlcv" in capsys.readouterr().out
+
+
+def test_warehouse_load_from_silver(spark, tmp_path):
+    from tidelake.plans import warehouse
+    bars = jobs.silver_bars(spark, bronze_bars(tmp_path))
+    put(tmp_path, "points.ndjson", POINT % ("2022", "1.0", "2024-01-01") + "\n" + (POINT % ("2022", "7.0", "x")).replace("USA", ""))
+    points = files.read_json_lines(spark, str(tmp_path / "points.ndjson"), catalog.POINT)
+    from tidelake.sources.payloads import observations
+    star = warehouse.load_star(spark, warehouse.Silver(bars, observations(points)))
+    assert [r["instrument_id"] for r in star["dim_instrument"].orderBy("instrument_id").collect()] == [-1, 0, 1]  # numbering continues after the unknown member
+    assert {r["country_iso3"]: r["value"] for r in star["fact_macro_obs"].collect()} == {"USA": 1.0, "UNK": 7.0}
+    assert star["fact_market_ohlcv"].count() == 3 and star["fact_filings"].count() == 0
+    views = Views(star)
+    assert views.instrument_detail.count() == 3 and views.master_equity.count() == 2
+    assert {(r["table_name"], r["row_count"], r["sources"]) for r in views.source_coverage.collect()} == {
+        ("dim_instrument", 1, 1), ("fact_market_ohlcv", 3, 1), ("fact_macro_obs", 2, 1), ("fact_crypto_ohlcv", 0, 0),
+        ("fact_rates_daily", 0, 0), ("fact_filings", 0, 0)}

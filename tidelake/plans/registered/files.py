@@ -48,6 +48,30 @@ def json_by_key(spark, sf_dir):
     return rows.select(files.directory_key(name="symbol").alias("source_key"), "event_id", "user_id", "value", "props")
 
 
+@registered("json_array_lines", """
+    SELECT o_orderkey AS id, o_orderstatus AS side, o_totalprice AS price FROM orders
+    UNION ALL SELECT o_orderkey, 'copy', NULL FROM orders""")
+def json_array_lines(spark, sf_dir):
+    """Arrays of records, one array per line; fields outside the schema are ignored."""
+    path = scratch_path(spark, "arrays")
+    record = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("side"),
+                      F.col("o_totalprice").alias("price"), F.lit("x").alias("unknown"))
+    copy = F.struct(F.col("o_orderkey").alias("id"), F.lit("copy").alias("side"),
+                    F.lit(None).cast("double").alias("price"), F.lit("y").alias("unknown"))
+    table(spark, sf_dir, "orders").select(F.to_json(F.array(record, copy)).alias("value")).write.text(path)
+    return files.read_json_lines(spark, path, "id bigint, side string, price double")
+
+
+@registered("audited_bars", sql("""
+    SELECT symbol, date, close, 'lines' AS _source, 'batch-1' AS _batch_id, volume > 20 AS _is_valid, true AS stamped
+    FROM bars"""))
+def audited_bars(spark, sf_dir):
+    rows = StandIns(spark, sf_dir).silver_bars.select("symbol", F.col("date").cast("date").alias("date"), "close", "volume")
+    audited = writers.with_audit(rows, "lines", "batch-1", F.col("volume") > 20)
+    return audited.select("symbol", "date", "close", "_source", "_batch_id", "_is_valid",
+                          F.col("_ingest_ts").isNotNull().alias("stamped"))
+
+
 @registered("raw_inventory", """
     SELECT source AS source_key, CAST(sum(strlen(text) + 1) AS BIGINT) AS raw_len FROM documents GROUP BY source""")
 def raw_inventory(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelake.functions import timestamp_to_micros
+from tidelake.operators import aggregates
 from tidelake.plans import warehouse
 from tidelake.plans.reference import reference_rows
 from tidelake.plans.registered.operators import REVISIONS, SILVER_BARS, revisions, silver_bars
@@ -63,16 +64,11 @@ def seed_equities(spark, sf_dir):
         valid_to, is_current, _source FROM {KNOWN}
     UNION ALL SELECT (SELECT coalesce(max(instrument_id), 0) FROM {KNOWN}) + row_number() OVER (ORDER BY symbol), symbol,
         company_name, 1, 4, 2, -1, market_lot, isin, listing_date, DATE '9999-12-31', true, 'nse-equity-master'
-    FROM (SELECT 'Supplier#' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS symbol, p_name AS company_name,
-        'INE' || p_partkey AS isin, p_size AS market_lot, DATE '2000-01-01' + p_size AS listing_date FROM part)
+    FROM (SELECT * REPLACE (CAST(market_lot AS INT) AS market_lot) FROM equity_master)
     WHERE symbol NOT IN (SELECT symbol FROM {KNOWN})"""))
 def seed_equity_master(spark, sf_dir):
     tables = StandIns(spark, sf_dir)
-    master = tables.read("part").selectExpr(
-        "concat('Supplier#', lpad(CAST(p_partkey AS string), 9, '0')) AS symbol", "p_name AS company_name",
-        "concat('INE', p_partkey) AS isin", "CAST(p_size AS string) AS market_lot",
-        "date_add(date'2000-01-01', p_size) AS listing_date")
-    return warehouse.seed_equity_master(known_instruments(tables), master)
+    return warehouse.seed_equity_master(known_instruments(tables), tables.equity_master)
 
 
 @registered("seed_countries", f"""
@@ -136,14 +132,17 @@ def macro_fact_load(spark, sf_dir):
     JOIN supplier ON s_suppkey = user_id WHERE rn = 1""")
 def crypto_fact_load(spark, sf_dir):
     tables = StandIns(spark, sf_dir)
+    instruments = tables.read("supplier").select(F.col("s_suppkey").alias("instrument_id"),
+                                                 F.col("s_suppkey").cast("string").alias("symbol"))
+    return warehouse.crypto_fact(klines_of_events(tables), instruments)
+
+
+def klines_of_events(tables: StandIns):
     value = F.col("value")
-    klines = tables.read("events").select(
+    return tables.read("events").select(
         F.col("user_id").cast("string").alias("symbol"), F.to_date("ts").alias("date"),
         (timestamp_to_micros("ts") * 1000).alias("epoch"), value.alias("open"), value.alias("high"),
         value.alias("low"), value.alias("close"), F.lit(1).cast("bigint").alias("volume"), F.col("event_id").alias("trades"))
-    instruments = tables.read("supplier").select(F.col("s_suppkey").alias("instrument_id"),
-                                                 F.col("s_suppkey").cast("string").alias("symbol"))
-    return warehouse.crypto_fact(klines, instruments)
 
 
 @registered("foreign_key_columns", """
@@ -159,3 +158,32 @@ def foreign_key_columns(spark, sf_dir):
         "WHEN 'FURNITURE' THEN 'CRYPTO' ELSE c_mktsegment END AS asset_class",
         "CASE c_mktsegment WHEN 'BUILDING' THEN 'USD' WHEN 'MACHINERY' THEN 'INR' WHEN 'FURNITURE' THEN 'EUR' END AS currency")
     return warehouse.with_foreign_keys(rows)
+
+
+STAR_COUNTS = f"""
+    SELECT 'dim_currency' AS table_name, 3 AS row_count UNION ALL SELECT 'dim_asset_class', 4
+    UNION ALL SELECT 'dim_industry', 3 UNION ALL SELECT 'dim_sector', 3 UNION ALL SELECT 'dim_exchange', 5
+    UNION ALL SELECT 'dim_country', 3 + count(DISTINCT country_iso3) FROM ({REVISIONS}) WHERE country_iso3 <> ''
+    UNION ALL SELECT 'dim_indicator', count(DISTINCT indicator_id) FROM ({REVISIONS})
+    UNION ALL SELECT 'dim_instrument', count(*) + 1 FROM symbols
+    UNION ALL SELECT 'dim_equity', count(*) FROM symbols WHERE symbol NOT LIKE 'U%'
+    UNION ALL SELECT 'fact_market_ohlcv', count(*) FROM ({LATEST_BARS})
+    UNION ALL SELECT 'fact_macro_obs', count(*) FROM (SELECT DISTINCT indicator_id, country_iso3, date FROM ({REVISIONS}))
+    UNION ALL SELECT 'fact_crypto_ohlcv', count(*) FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events)
+    UNION ALL SELECT 'fact_rates_daily', count(*) FROM fact_rates_daily
+    UNION ALL SELECT 'fact_filings', count(*) FROM orders JOIN symbols ON symbol = 'Supplier#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')"""
+
+
+@registered("loaded_star", sql(STAR_COUNTS, symbols="""
+    SELECT s_name AS symbol FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)
+    UNION SELECT DISTINCT 'U' || user_id FROM events UNION SELECT symbol FROM equity_master"""))
+def loaded_star(spark, sf_dir):
+    """The whole warehouse load, counted table by table."""
+    tables = StandIns(spark, sf_dir)
+    observations = revisions(spark, sf_dir).withColumns({
+        "indicator_name": F.lower("indicator_id"), "unit": F.lit("USD"), "source_id": F.lit("2")})
+    klines = klines_of_events(tables).withColumn("symbol", F.concat(F.lit("U"), "symbol"))
+    star = warehouse.load_star(spark, warehouse.Silver(
+        full_bars(spark, sf_dir), observations, tables.equity_master, klines,
+        tables.fact_rates_daily.drop("source_id"), tables.filings))
+    return aggregates.union_all([aggregates.row_count(name, star[name]) for name in star.tables])

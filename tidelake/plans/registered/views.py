@@ -86,6 +86,10 @@ CTE = {
             CAST(o_orderdate AS DATE) AS filing_date, o_orderstatus AS form_type,
             'Customer ' || o_custkey AS entity_name, 'https://example.com/filings/' || o_orderkey AS url
         FROM orders JOIN dim_instrument ON symbol = 'Supplier#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')""",
+    "equity_master": """
+        SELECT 'Supplier#' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS symbol, p_name AS company_name,
+            'INE' || p_partkey AS isin, CAST(p_size AS VARCHAR) AS market_lot, DATE '2000-01-01' + p_size AS listing_date
+        FROM part""",
     "bars": "SELECT i.symbol, i.asset_class_id, f.* FROM fact_market_ohlcv f JOIN dim_instrument i USING (instrument_id)",
     "returns": """
         SELECT *, close / nullif(lag(close) OVER (PARTITION BY instrument_id ORDER BY date), 0) - 1 AS ret_1d
@@ -328,3 +332,14 @@ def ohlcv_3nf(spark, sf_dir):
     FROM fact_market_ohlcv f JOIN dim_instrument i USING (instrument_id) JOIN dim_asset_class USING (asset_class_id)"""))
 def equity_ohlcv(spark, sf_dir):
     return StandIns(spark, sf_dir).views.equity_ohlcv
+
+
+@registered("silver_yahoo_ohlcv", sql("""
+    SELECT symbol, date AS trade_date, epoch, open, high, low, close, adj_close, volume FROM bars"""))
+def silver_yahoo_ohlcv(spark, sf_dir):
+    return StandIns(spark, sf_dir).views.silver_yahoo_ohlcv
+
+
+@registered("silver_equity_master", sql("SELECT * FROM equity_master"))
+def silver_equity_master(spark, sf_dir):
+    return StandIns(spark, sf_dir).views.silver_equity_master

@@ -205,11 +205,27 @@ class StandIns:
     def fact_filings(self) -> DataFrame:
         return warehouse.filings_fact(self.filings, self.dim_instrument)
 
+    # --- silver --------------------------------------------------------------
+
+    @property
+    def silver_bars(self) -> DataFrame:
+        symbols = self.dim_instrument.select("instrument_id", "symbol")
+        return self.fact_market_ohlcv.join(symbols, "instrument_id").select(
+            "symbol", F.col("date").cast("string").alias("date"), "epoch", "open", "high", "low", "close",
+            "adj_close", "volume")
+
+    @property
+    def equity_master(self) -> DataFrame:
+        return self.read("part").selectExpr(
+            "concat('Supplier#', lpad(CAST(p_partkey AS string), 9, '0')) AS symbol", "p_name AS company_name",
+            "concat('INE', p_partkey) AS isin", "CAST(p_size AS string) AS market_lot",
+            "date_add(date'2000-01-01', p_size) AS listing_date")
+
     # --- whole star ----------------------------------------------------------
 
     STAR = ("dim_currency", "dim_asset_class", "dim_industry", "dim_sector", "dim_exchange", "dim_country",
             "dim_indicator", "dim_instrument", "dim_equity", "fact_market_ohlcv", "fact_crypto_ohlcv",
-            "fact_macro_obs", "fact_rates_daily", "fact_filings")
+            "fact_macro_obs", "fact_rates_daily", "fact_filings", "silver_bars", "equity_master")
 
     @cached_property
     def star(self) -> Star:

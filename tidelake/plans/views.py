@@ -129,6 +129,16 @@ class Views:
 
     # --- silver names ---------------------------------------------------------
 
+    @property
+    def silver_yahoo_ohlcv(self) -> DataFrame:
+        return self.star["silver_bars"].select(
+            "symbol", F.col("date").cast("date").alias("trade_date"), "epoch", "open", "high", "low", "close",
+            "adj_close", "volume")
+
+    @property
+    def silver_equity_master(self) -> DataFrame:
+        return self.star["equity_master"]
+
     @property
     def silver_worldbank_observations(self) -> DataFrame:
         return self.star["fact_macro_obs"]
@@ -244,7 +254,9 @@ VIEW_NAMES = {
     "gold_yahoo_summary": "yahoo_summary",
     "gold_worldbank_yoy": "worldbank_yoy",
     "gold_all_sources_summary": "all_sources_summary",
+    "silver_yahoo_ohlcv": "silver_yahoo_ohlcv",
     "silver_worldbank_observations": "silver_worldbank_observations",
+    "silver_equity_master": "silver_equity_master",
     "market_ohlcv": "market_ohlcv",
     "market_crypto": "market_crypto",
     "market_filings": "market_filings",
@@ -270,7 +282,10 @@ VIEW_NAMES = {
 
 
 def register_views(spark: SparkSession, star: Star) -> Views:
-    """Register the star's tables and all views as temp views for ad-hoc SQL."""
+    """Register the star's tables and all views as temp views for ad-hoc SQL.
+
+    The two views on silver files need the tables ``silver_bars`` and ``equity_master``.
+    """
     for name in star.tables:
         star[name].createOrReplaceTempView(name)
     views = Views(star)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelake.functions import ASSET_CLASS_IDS, CURRENCY_IDS, code_id, or_unknown, symbol_class
 from tidelake.operators.dedup import keep_latest, latest_bars
 from tidelake.operators.joins import insert_or_ignore, lookup, salted_lookup, unmatched
 from tidelake.operators.keys import with_dense_key
-from tidelake.plans.reference import reference_rows
+from tidelake.plans.reference import reference_rows, unknown_instrument
+from tidelake.plans.views import Star
 
 INSTRUMENT_COLUMNS = ["instrument_id", "symbol", "name", "asset_class_id", "exchange_id", "currency_id",
                       "sector_id", "lot_size", "isin", "valid_from", "valid_to", "is_current", "_source"]
@@ -18,14 +21,18 @@ OPEN_FROM, OPEN_TO = "date'1900-01-01'", "date'9999-12-31'"
 
 # --- dimensions -------------------------------------------------------------
 
-def seed_instruments(existing: DataFrame, bars: DataFrame, source: str = "yahoo",
-                     exchange_id: int = 1, currency: str = "USD") -> DataFrame:
-    """Append every symbol of ``bars`` that the dimension does not know yet."""
+def seed_instruments(existing: DataFrame, bars: DataFrame, source: str = "yahoo", exchange_id: int = 1,
+                     currency: str = "USD", asset_class: Column | None = None) -> DataFrame:
+    """Append every symbol of ``bars`` that the dimension does not know yet.
+
+    The asset class follows from the symbol's spelling unless it is given.
+    """
+    kind = symbol_class("symbol") if asset_class is None else asset_class
     fresh = unmatched(bars.select("symbol").where(F.col("symbol").isNotNull()).distinct(), existing, "symbol")
     numbered = with_dense_key(fresh, ["symbol"], "instrument_id", existing)
     rows = numbered.select(
         "instrument_id", "symbol", F.lit(None).cast("string").alias("name"),
-        code_id(symbol_class("symbol"), ASSET_CLASS_IDS).alias("asset_class_id"),
+        code_id(kind, ASSET_CLASS_IDS).alias("asset_class_id"),
         F.lit(exchange_id).alias("exchange_id"), code_id(F.lit(currency), CURRENCY_IDS).alias("currency_id"),
         F.lit(-1).alias("sector_id"), F.lit(1).alias("lot_size"), F.lit(None).cast("string").alias("isin"),
         F.expr(OPEN_FROM).alias("valid_from"), F.expr(OPEN_TO).alias("valid_to"),
@@ -128,3 +135,62 @@ def filings_fact(filings: DataFrame, instruments: DataFrame) -> DataFrame:
     """Filings with their instrument id; one filer may own a large share of them."""
     rows = salted_lookup(filings, instruments.select("instrument_id", "symbol"), "symbol")
     return rows.select("instrument_id", "accession_number", "filing_date", "form_type", "entity_name", "url")
+
+
+# --- whole load ---------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Silver:
+    """Silver tables a warehouse is loaded from; the optional ones give empty facts when missing."""
+
+    bars: DataFrame
+    observations: DataFrame
+    equity_master: DataFrame | None = None
+    klines: DataFrame | None = None
+    rates: DataFrame | None = None
+    filings: DataFrame | None = None
+
+
+EMPTY_FACTS = {
+    "fact_crypto_ohlcv": "instrument_id bigint, date date, open double, high double, low double, close double, "
+                         "volume double, trades bigint, year int",
+    "fact_rates_daily": "indicator_id string, date date, value double, source_id string",
+    "fact_filings": "instrument_id bigint, accession_number string, filing_date date, form_type string, "
+                    "entity_name string, url string",
+}
+
+
+def load_star(spark: SparkSession, silver: Silver, rates_source: str = "fred") -> Star:
+    """Reference rows, then dimensions seeded in order, then facts with their keys.
+
+    Numbered dimensions are checkpointed by their seeds; everything else stays lazy.
+    """
+    instruments = seed_instruments(unknown_instrument(spark), silver.bars)
+    if silver.klines is not None:
+        instruments = seed_instruments(instruments, silver.klines, source="binance", exchange_id=-1,
+                                       asset_class=F.lit("CRYPTO"))
+    if silver.equity_master is not None:
+        instruments = seed_equity_master(instruments, silver.equity_master)
+    no_equities = spark.createDataFrame(
+        [], "instrument_id bigint, outstanding_shares bigint, market_cap double, listing_date date")
+    no_indicators = spark.createDataFrame(
+        [], "indicator_id string, indicator_name string, source_id string, unit string, frequency string")
+    tables = {name: (lambda n=name: reference_rows(spark, n))
+              for name in ("dim_currency", "dim_asset_class", "dim_industry", "dim_sector", "dim_exchange")}
+    tables |= {
+        "dim_country": lambda: seed_countries(reference_rows(spark, "dim_country"), silver.observations),
+        "dim_indicator": lambda: seed_indicators(no_indicators, silver.observations),
+        "dim_instrument": lambda: instruments,
+        "dim_equity": lambda: seed_equities(no_equities, instruments),
+        "fact_market_ohlcv": lambda: market_fact(silver.bars, instruments),
+        "fact_macro_obs": lambda: macro_fact(silver.observations),
+    }
+    optional = {
+        "fact_crypto_ohlcv": (silver.klines, lambda rows: crypto_fact(rows, instruments)),
+        "fact_rates_daily": (silver.rates, lambda rows: rates_fact(rows, rates_source)),
+        "fact_filings": (silver.filings, lambda rows: filings_fact(rows, instruments)),
+    }
+    for name, (rows, build) in optional.items():
+        tables[name] = ((lambda n=name: spark.createDataFrame([], EMPTY_FACTS[n])) if rows is None
+                        else (lambda r=rows, b=build: b(r)))
+    return Star(tables)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.sources import files
@@ -30,6 +31,11 @@ ORDER = "id int, symbol string, side string, qty int, price double, ts bigint"
 POSITION = "symbol string, qty int, avg_price double, market_price double, pnl double"
 WINDOWED_BAR = "symbol string, window_start string, open double, high double, low double, close double, volume bigint"
 
+EQUITY_MASTER = "symbol string, company_name string, isin string, market_lot string, listing_date date"
+SUMMARY = "symbol string, bars bigint, avg_close double, max_high double, min_low double, total_vol bigint"
+YOY = "indicator_id string, country_iso3 string, date string, value double, prev double, yoy double"
+SOURCE_SUMMARY = "source string, bronze_keys bigint, silver_rows bigint"
+
 
 @dataclass(frozen=True)
 class Entry:
@@ -58,7 +64,11 @@ TABLES: Mapping[str, Entry] = {
     "silver.ohlcv": Entry("csv", WINDOWED_BAR, "silver/ohlcv"),
     "silver.market_ohlcv": Entry("parquet", BAR + ", year int", "silver/market/ohlcv"),
     "silver.macro_observations": Entry("parquet", OBSERVATION, "silver/macro/observations"),
+    "silver.equity_master": Entry("parquet", EQUITY_MASTER, "silver/master/equity"),
     "gold.positions": Entry("csv", POSITION, "gold/positions"),
+    "gold.yahoo_summary": Entry("parquet", SUMMARY, "gold/yahoo_summary"),
+    "gold.worldbank_yoy": Entry("parquet", YOY, "gold/worldbank_yoy"),
+    "gold.all_sources_summary": Entry("parquet", SOURCE_SUMMARY, "gold/all_sources_summary"),
     **{f"silver.{s}": Entry("parquet", INVENTORY, f"silver/{s}")
        for s in SOURCES if s not in ("yahoo", "worldbank")},
 }
@@ -74,6 +84,18 @@ def register_tables(spark: SparkSession, root: str, *names: str) -> None:
         read_table(spark, root, name).createOrReplaceTempView(name.replace(".", "_"))
 
 
+def register_existing(spark: SparkSession, root: str) -> list[str]:
+    """Register every table of the registry that has files; returns their names."""
+    found = []
+    for name in TABLES:
+        try:
+            register_tables(spark, root, name)
+            found.append(name)
+        except PySparkException:
+            continue
+    return found
+
+
 def local_path(uri: str, root: str, buckets: Mapping[str, str]) -> str:
     """Path below ``root`` for an ``s3://bucket/key`` address.
 

@@ -125,3 +125,10 @@ def with_fixed_prices(bars: DataFrame, columns: Sequence[str] = ("open", "high",
 def total_order(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Globally sorted export."""
     return df.orderBy(*[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in columns])
+
+
+def with_audit(rows: DataFrame, source: str, batch_id: str, is_valid: Column | None = None) -> DataFrame:
+    """Audit columns of a silver table: source, load time, batch and validity."""
+    return rows.withColumns({
+        "_source": F.lit(source), "_ingest_ts": F.current_timestamp(), "_batch_id": F.lit(batch_id),
+        "_is_valid": F.lit(True) if is_valid is None else F.coalesce(is_valid, F.lit(False))})
