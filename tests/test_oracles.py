@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry_point
 from tests.compare import differences
 
-SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))

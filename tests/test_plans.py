@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidelake.operators import dedup
 from tidelake.plans.standins import StandIns
+from tidelake.plans.views import Star, Views
+from tidelake.sources.writers import write_bucketed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -53,3 +55,26 @@ def test_summary_aggregates_before_the_join(spark):
 
 def test_yoy_has_one_window(spark):
     assert plan(StandIns(spark, SF_DIR).views.macro_yoy).count("Window [") == 1
+
+
+def test_bucketed_bars_need_no_exchange(spark, tmp_path):
+    star = StandIns(spark, SF_DIR).star
+    write_bucketed(star["fact_market_ohlcv"], "bucketed_bars", str(tmp_path / "bars"), "instrument_id", ["date"], 4)
+    bars = spark.table("bucketed_bars")
+    views = Views(Star({**star.tables, "fact_market_ohlcv": lambda: bars}))
+    for view in (views.returns_daily, views.returns_cumulative, views.volatility_30d, views.yahoo_summary_short):
+        assert "hashpartitioning(instrument_id" not in plan(view)
+    assert views.volatility_30d.exceptAll(StandIns(spark, SF_DIR).views.volatility_30d).count() == 0
+    spark.sql("DROP TABLE bucketed_bars")
+
+
+def test_salted_plan_without_broadcast(spark):
+    """Beyond the broadcast limit the facts are spread by key and salt."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(StandIns(spark, SF_DIR).fact_filings)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"hashpartitioning\(symbol#\d+, _salt#\d+", text)
+    assert "TakeOrderedAndProject(limit=10000" in text

@@ -122,6 +122,11 @@ def timestamp_to_micros(ts: Column | str) -> Column:
     return (_seconds_since_epoch(ts) * 1_000_000).cast("bigint")
 
 
+def utc_instant(ts: Column | str) -> Column:
+    """TIMESTAMP of a wall-clock value that is meant in UTC."""
+    return F.timestamp_micros(timestamp_to_micros(ts))
+
+
 def epoch_date(seconds: Column | str) -> Column:
     return F.date_from_unix_date(F.floor(_col(seconds) / 86_400).cast("int"))
 

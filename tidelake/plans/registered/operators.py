@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelake import functions as fn
 from tidelake.operators import aggregates, dedup, history, joins, keys, quality, series
-from tidelake.plans.registered.registry import registered, rounded
+from tidelake.plans.registered.registry import registered, rounded, rounded_mean
 from tidelake.plans.registered.views import sql
 from tidelake.plans.standins import TABLE_COLUMNS, TABLE_NAMES, StandIns
 from tidelake.sources.writers import with_fixed_prices
@@ -253,11 +253,11 @@ def ticks_per_symbol(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("ticks")).orderBy("symbol"))
 
 
-@registered("average_tick_price", "SELECT event_type AS symbol, round(avg(value), 6) AS avg_price FROM events GROUP BY event_type")
+@registered("average_tick_price", "SELECT event_type AS symbol, round(avg(value) + 1e-8, 6) AS avg_price FROM events GROUP BY event_type")
 def average_tick_price(spark, sf_dir):
     frame = (StandIns(spark, sf_dir).read("events").groupBy(F.col("event_type").alias("symbol"))
              .agg(F.avg("value").alias("avg_price")))
-    return rounded(frame, avg_price=6)
+    return rounded_mean(frame, avg_price=6)
 
 
 @registered("highest_key", "SELECT coalesce(max(s_suppkey), 0) AS base FROM supplier")
@@ -275,7 +275,7 @@ LAST_PRICES = """
     SELECT l_suppkey AS symbol, arg_max(l_extendedprice, row(l_orderkey, l_linenumber, l_extendedprice)) AS market_price
     FROM lineitem GROUP BY 1"""
 POSITIONS = f"""
-    SELECT symbol, CAST(qty AS BIGINT) AS qty, round(avg_price, 4) AS avg_price, market_price,
+    SELECT symbol, CAST(qty AS BIGINT) AS qty, round(avg_price + 1e-8, 4) AS avg_price, market_price,
         round((market_price - avg_price) * CAST(qty AS DOUBLE), 2) AS pnl
     FROM (SELECT symbol, qty, CAST(amount AS DOUBLE) / CAST(qty AS DOUBLE) AS avg_price FROM (
         SELECT l_suppkey AS symbol, sum(CAST(l_quantity AS DECIMAL(10,0))) AS qty,
@@ -292,12 +292,12 @@ def position_rows(spark, sf_dir):
 
 @registered("positions", POSITIONS)
 def positions(spark, sf_dir):
-    return rounded(position_rows(spark, sf_dir), avg_price=4)
+    return rounded_mean(position_rows(spark, sf_dir), avg_price=4)
 
 
-@registered("portfolio_total", f"SELECT round(sum(pnl), 0) AS total_pnl FROM ({POSITIONS})")
+@registered("portfolio_total", f"SELECT round(sum(pnl), 2) AS total_pnl FROM ({POSITIONS})")
 def portfolio_total(spark, sf_dir):
-    return rounded(aggregates.portfolio_total(position_rows(spark, sf_dir)), total_pnl=0)
+    return rounded(aggregates.portfolio_total(position_rows(spark, sf_dir)), total_pnl=2)
 
 
 @registered("money_totals", """

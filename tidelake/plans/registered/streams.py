@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.functions import sequence_key
+from tidelake.functions import epoch_date, sequence_key, utc_instant
 from tidelake.plans.registered.registry import registered
 from tidelake.plans.registered.operators import LATEST_LINES
 from tidelake.plans.standins import table
@@ -24,20 +24,20 @@ def stream_of(spark, sf_dir, name):
 def stream_tick_bars(spark, sf_dir):
     """Daily bars in update mode; equal to the batch bars once the input is exhausted."""
     events = stream_of(spark, sf_dir, "events").select(
-        F.col("user_id").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"),
+        F.col("user_id").alias("symbol"), utc_instant("ts").alias("ts"), F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("bigint").alias("volume"), "event_id")
     bars = jobs.tick_bars(events, "1 day", "1 hour", sequence_key(F.unix_micros("ts"), "event_id"))
     log = scratch_path(spark, "bars-log")
     jobs.start_upserts(bars, log, scratch_path(spark, "bars-state")).awaitTermination()
     rows = jobs.read_upserts(spark, log, ["symbol", "window_start"])
-    return rows.withColumn("day", F.to_date("window_start")).drop("window_start")
+    return rows.withColumn("day", epoch_date(F.unix_seconds("window_start"))).drop("window_start")
 
 
 @registered("stream_deduplicated", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_deduplicated(spark, sf_dir):
     """The table streamed twice over loses its second copy."""
     def once():
-        return stream_of(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+        return stream_of(spark, sf_dir, "events").withColumn("ts", utc_instant("ts"))
 
     single = jobs.first_of_duplicates(once().unionByName(once()), ["event_id", "ts"], "ts", "40 days")
     log = scratch_path(spark, "dedup-log")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tidelake.plans.registered.registry import registered, rounded
+from tidelake.plans.registered.registry import registered, rounded, rounded_mean
 from tidelake.plans.standins import StandIns
 
 # The stand-in star schema in DuckDB's dialect.
@@ -190,19 +190,19 @@ def all_sources_summary(spark, sf_dir):
 
 
 SUMMARY = """
-    SELECT symbol, count(*) AS bars, round(avg(close), 6) AS avg_close, max(high) AS max_high,
+    SELECT symbol, count(*) AS bars, round(avg(close) + 1e-8, 6) AS avg_close, max(high) AS max_high,
         min(low) AS min_low, CAST(sum(volume) AS BIGINT) AS total_vol FROM bars GROUP BY symbol"""
 
 
 @registered("market_summary", sql(SUMMARY))
 def market_summary(spark, sf_dir):
-    return rounded(StandIns(spark, sf_dir).views.yahoo_summary, avg_close=6)
+    return rounded_mean(StandIns(spark, sf_dir).views.yahoo_summary, avg_close=6)
 
 
 @registered("market_summary_short", sql(
-    "SELECT symbol, count(*) AS bars, round(avg(close), 6) AS avg_close FROM bars GROUP BY symbol"))
+    "SELECT symbol, count(*) AS bars, round(avg(close) + 1e-8, 6) AS avg_close FROM bars GROUP BY symbol"))
 def market_summary_short(spark, sf_dir):
-    return rounded(StandIns(spark, sf_dir).views.yahoo_summary_short, avg_close=6)
+    return rounded_mean(StandIns(spark, sf_dir).views.yahoo_summary_short, avg_close=6)
 
 
 @registered("market_ohlcv", sql(

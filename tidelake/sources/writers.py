@@ -32,6 +32,16 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], sor
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, sort_by: Sequence[str], buckets: int) -> None:
+    """Table bucketed by ``key``: later windows, joins and aggregates on it need no exchange.
+
+    Meant for facts with a bounded number of rows per key, such as daily bars. Rows are
+    hashed to their bucket's task first, so every bucket is one file.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *sort_by)
+     .option("path", path).option("compression", "zstd").saveAsTable(table))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 

@@ -35,7 +35,7 @@ def start_merge(stream: DataFrame, table_path: str, stage_path: str, checkpoint:
     partitions that the batch touches are read and replaced; their values are collected,
     one per directory. The merged partitions are staged first. A replayed batch republishes
     a finished stage instead of merging again, so a failure while partitions are being
-    replaced loses nothing.
+    replaced loses nothing. Stages of earlier batches are not used again and may be deleted.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
