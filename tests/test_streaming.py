@@ -60,6 +60,25 @@ def test_tick_bars_update_until_complete(spark, tmp_path):
         (p[0], max(p), min(p), p[-1], len(p)) for _, p in sorted(expected.items())]
 
 
+def test_bars_upserted_into_a_table(spark, tmp_path):
+    schema = "symbol string, ts timestamp, price double, volume bigint, n bigint"
+    moment = datetime.datetime(2024, 1, 1, 23, 50)
+    ticks = [("A", moment + datetime.timedelta(minutes=i), float(i), 2, i) for i in range(20)]
+
+    def run():
+        stream = jobs.file_stream(spark, str(tmp_path / "in"), schema)
+        bars = jobs.tick_bars(stream, "10 minutes", "1 hour", sequence_key(F.unix_micros("ts"), "n"))
+        jobs.start_bars(bars, str(tmp_path / "bars"), str(tmp_path / "stage"), str(tmp_path / "state")).awaitTermination()
+        return [(b["open"], b["close"], b["volume"]) for b in
+                spark.read.parquet(str(tmp_path / "bars")).orderBy("window_start").collect()]
+
+    drop(spark, ticks[:5], str(tmp_path / "in"), schema)
+    assert run() == [(0.0, 4.0, 10)]
+    drop(spark, ticks[5:], str(tmp_path / "in"), schema)
+    assert run() == [(0.0, 9.0, 20), (10.0, 19.0, 20)]
+    assert sorted(p.name for p in (tmp_path / "bars").iterdir() if p.is_dir()) == ["day=2024-01-01", "day=2024-01-02"]
+
+
 def test_duplicates_across_drops(spark, tmp_path):
     schema = "symbol string, ts timestamp, price double"
     moment = datetime.datetime(2024, 1, 1)

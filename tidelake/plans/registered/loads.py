@@ -39,8 +39,8 @@ def traded_symbols(tables: StandIns):
     suppliers = tables.read("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("symbol"))
     customers = tables.read("customer").select(F.col("c_custkey").alias("o_custkey"),
                                                F.concat(F.lit("^"), F.col("c_name")).alias("symbol"))
-    traded = suppliers.join(tables.read("lineitem").select("l_suppkey"), "l_suppkey", "left_semi").select("symbol")
-    ordered = customers.join(tables.read("orders").select("o_custkey"), "o_custkey", "left_semi").select("symbol")
+    traded = suppliers.join(tables.read("lineitem").select("l_suppkey").distinct(), "l_suppkey").select("symbol")
+    ordered = customers.join(tables.read("orders").select("o_custkey").distinct(), "o_custkey").select("symbol")
     return traded.unionByName(ordered)
 
 

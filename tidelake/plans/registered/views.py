@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 
+from tidelake.plans import adhoc
 from tidelake.plans.registered.registry import registered, rounded, rounded_mean
 from tidelake.plans.standins import StandIns
+from tidelake.plans.views import register_views
 
 # The stand-in star schema in DuckDB's dialect.
 CTE = {
@@ -343,3 +345,19 @@ def silver_yahoo_ohlcv(spark, sf_dir):
 @registered("silver_equity_master", sql("SELECT * FROM equity_master"))
 def silver_equity_master(spark, sf_dir):
     return StandIns(spark, sf_dir).views.silver_equity_master
+
+
+ADHOC = """
+    SELECT coalesce(m.symbol, f.symbol) AS symbol, m.days, m.top, f.filings FROM
+        (SELECT symbol, count(*) AS days, max(high) AS top FROM {bars} WHERE year >= 1996 GROUP BY symbol
+         HAVING count(*) > 1) m
+    FULL OUTER JOIN (SELECT symbol, count(DISTINCT form_type) AS filings FROM {filings} GROUP BY symbol) f
+        ON m.symbol = f.symbol"""
+
+
+@registered("adhoc_sql", sql(ADHOC.format(
+    bars="bars", filings="(SELECT * FROM fact_filings JOIN dim_instrument USING (instrument_id))")))
+def adhoc_sql(spark, sf_dir):
+    """Free SQL over the registered views."""
+    register_views(spark, StandIns(spark, sf_dir).star)
+    return adhoc.query(spark, ADHOC.format(bars="market_ohlcv", filings="market_filings"))

@@ -46,6 +46,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def _spread_by(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a key side by side, a large key over several tasks: few files per key and task."""
+    return df.repartitionByRange(F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
 def write_raw(payloads: DataFrame, path: str, key: str, keep_history: bool = False) -> None:
     """Raw text per key below ``key=<value>/``.
 
@@ -54,15 +59,16 @@ def write_raw(payloads: DataFrame, path: str, key: str, keep_history: bool = Fal
     """
     if keep_history:
         stamped = payloads.withColumn("ingest_ts", F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss"))
-        stamped.write.mode("append").partitionBy(key, "ingest_ts").text(path)
+        _spread_by(stamped, key).write.mode("append").partitionBy(key, "ingest_ts").text(path)
     else:
-        (payloads.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (_spread_by(payloads, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(key).text(path))
 
 
 def write_json_by_key(df: DataFrame, path: str, key: str) -> None:
     """Line-delimited JSON per key; replaces the keys present in ``df``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).json(path)
+    (_spread_by(df, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(key).json(path))
 
 
 # --- publishing ---------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidelake.functions import epoch_date
 from tidelake.operators import aggregates
 from tidelake.operators.dedup import keep_latest
 from tidelake.sources.writers import write_partitioned
@@ -28,7 +29,7 @@ def file_stream(spark: SparkSession, path: str, schema: StructType | str, source
 
 def start_merge(stream: DataFrame, table_path: str, stage_path: str, checkpoint: str, schema: StructType | str,
                 keys: Sequence[str], newest_first: Callable[[], Sequence[Column]],
-                partition_by: Sequence[str] = ("year",)) -> StreamingQuery:
+                partition_by: Sequence[str] = ("year",), output_mode: str = "append") -> StreamingQuery:
     """Merge every micro-batch into a partitioned table, keeping the newest version per key.
 
     The partition columns must follow from the key, as the year follows from a date. Only
@@ -49,7 +50,7 @@ def start_merge(stream: DataFrame, table_path: str, stage_path: str, checkpoint:
             merged.write.mode("overwrite").option("compression", "zstd").parquet(stage)
         write_partitioned(spark.read.parquet(stage), table_path, partition_by, keys)
 
-    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (stream.writeStream.outputMode(output_mode).foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
@@ -74,6 +75,17 @@ def tick_bars(ticks: DataFrame, duration: str, late: str, sequence: Column) -> D
                        "volume", "trades")
 
 
+def start_bars(bars: DataFrame, table_path: str, stage_path: str, checkpoint: str) -> StreamingQuery:
+    """Upsert streamed bars into a table partitioned by ``day``.
+
+    Update mode emits a bar again whenever ticks reach it; the emission with the most
+    ticks is the newest.
+    """
+    rows = bars.withColumn("day", epoch_date(F.unix_seconds("window_start")))
+    return start_merge(rows, table_path, stage_path, checkpoint, rows.schema, ["symbol", "window_start"],
+                       lambda: [F.col("trades").desc()], ["day"], "update")
+
+
 def start_upserts(rows: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
     """Write the changed rows of every micro-batch to a log directory of that batch.
 
