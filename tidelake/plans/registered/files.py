@@ -83,10 +83,10 @@ def raw_inventory(spark, sf_dir):
 
 @registered("raw_lines", """
     SELECT lang AS source_key, CAST(sum(length(html) - length(replace(html, chr(10), '')) + 1) AS BIGINT) AS lines FROM (
-        SELECT substring(url, 1, 5) AS lang, html FROM pages) GROUP BY lang""")
+        SELECT regexp_extract(url, '^[a-z]+') AS lang, html FROM pages) GROUP BY lang""")
 def raw_lines(spark, sf_dir):
     path = scratch_path(spark, "lines")
-    pages = table(spark, sf_dir, "pages").select(F.substring("url", 1, 5).alias("key"), F.col("html").alias("value"))
+    pages = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "^[a-z]+", 0).alias("key"), F.col("html").alias("value"))
     writers.write_raw(pages, path, "key")
     return (files.read_lines(spark, path).groupBy(files.directory_key(name="key").alias("source_key"))
             .agg(F.count(F.lit(1)).alias("lines")))

@@ -13,15 +13,15 @@ from tidelake.plans.registered.registry import registered
 from tidelake.plans.registered.views import sql
 from tidelake.plans.standins import StandIns
 
-# The seeds start from a dimension that holds part of the suppliers; customer names act as index symbols.
-KNOWN = "(SELECT * FROM dim_instrument WHERE instrument_id % 2 <> 0)"
+# The seeds start from a dimension that knows some exchanges; customer names act as index symbols.
+KNOWN = "(SELECT * FROM dim_instrument WHERE exchange_id < 12)"
 LATEST_BARS = f"""
     SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY epoch DESC, close DESC,
         volume DESC, part DESC) AS rn FROM ({SILVER_BARS})) WHERE rn = 1"""
 
 
 def known_instruments(tables: StandIns):
-    return tables.dim_instrument.where("instrument_id % 2 <> 0")
+    return tables.dim_instrument.where("exchange_id < 12")
 
 
 SEEDED = f"""

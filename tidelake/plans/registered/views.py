@@ -54,8 +54,8 @@ CTE = {
             'src' || (s_suppkey % 4) FROM supplier""",
     "dim_equity": """
         SELECT s_suppkey AS instrument_id, s_suppkey * 1000 AS outstanding_shares, s_acctbal AS market_cap,
-            DATE '2000-01-01' AS listing_date FROM supplier WHERE s_suppkey % 8 = 1
-        UNION ALL SELECT s_suppkey, NULL, NULL, NULL FROM supplier WHERE s_suppkey % 4 = 1 AND s_suppkey % 8 <> 1""",
+            DATE '2000-01-01' AS listing_date FROM supplier WHERE s_suppkey % 4 = 1 AND s_acctbal >= 5000
+        UNION ALL SELECT s_suppkey, NULL, NULL, NULL FROM supplier WHERE s_suppkey % 4 = 1 AND s_acctbal < 5000""",
     "fact_market_ohlcv": """
         SELECT l_suppkey AS instrument_id, CAST(l_shipdate AS DATE) AS date,
             CAST(max(epoch(l_shipdate)) AS BIGINT) AS epoch,

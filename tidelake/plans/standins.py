@@ -122,7 +122,7 @@ class StandIns:
 
     @property
     def dim_equity(self) -> DataFrame:
-        known = self.read("supplier").where("s_suppkey % 8 = 1").selectExpr(
+        known = self.read("supplier").where("s_suppkey % 4 = 1 AND s_acctbal >= 5000").selectExpr(
             "s_suppkey AS instrument_id", "s_suppkey * 1000 AS outstanding_shares", "s_acctbal AS market_cap",
             "date'2000-01-01' AS listing_date")
         return warehouse.seed_equities(known, self.dim_instrument)
