@@ -117,10 +117,29 @@ def test_published_databases(spark, tmp_path):
 
 def test_catalog_export(spark, tmp_path):
     tables = {"fact_macro_obs": StandIns(spark, SF_DIR).fact_macro_obs, "dim_currency": StandIns(spark, SF_DIR).dim_currency}
-    listed = {r["table"]: r["columns"] for r in jobs.export_catalog(spark, tables, "dim", str(tmp_path / "c")).collect()}
-    assert [(c["name"], c["type"]) for c in listed["dim_currency"]] == [
+    summary = {"summary": spark.range(1).select(F.array("id").alias("ids"), F.lit(1).cast("decimal(9,2)").alias("amount"))}
+    jobs.export_catalog(spark, {"dim": tables, "gold": summary}, "s3://lake", str(tmp_path / "c"))
+    listed = {r["name"]: r for r in spark.read.json(str(tmp_path / "c/tables")).collect()}
+    assert [(c["name"], c["type"]) for c in listed["dim_currency"]["columns"]] == [
         ("currency_id", "int"), ("currency_code", "string"), ("currency_name", "string")]
-    assert spark.read.json(str(tmp_path / "c")).count() == 2
+    assert [c["type"] for c in listed["summary"]["columns"]] == ["string", "double"]
+    assert listed["summary"]["location"] == "s3://lake/gold/summary"
+    assert spark.read.json(str(tmp_path / "c/databases")).count() == 2
+
+
+def test_macro_merge_from_csv(spark, tmp_path):
+    header = "indicator_id,indicator_name,country_id,country_name,country_iso3,date,year,period_type,value,unit,obs_status,decimal,source_id,lastupdated"
+    source = put(tmp_path, "obs.csv", header + "\nI,i,US,U,USA,2022,2022,Y,1.0,,,0,2,2024-01-01\nI,i,US,U,USA,2022,2022,Y,2.0,,,0,2,2024-06-01\n")
+    assert jobs.merge_macro(spark, source, str(tmp_path / "silver/macro/observations"), str(tmp_path / "state"), "csv")
+    assert [r["value"] for r in catalog.read_table(spark, str(tmp_path), "silver.macro_observations").collect()] == [2.0]
+
+
+def test_foreign_keys_keep_ids_that_are_set(spark):
+    from tidelake.plans.warehouse import with_foreign_keys
+    rows = spark.createDataFrame(
+        [("EQUITY", "INR", -1, 1, 5), ("INDEX", "USD", 3, 2, None), ("FUND", None, -1, 1, -1)],
+        "asset_class string, currency string, asset_class_id int, currency_id int, sector_id int")
+    assert [tuple(r)[2:] for r in with_foreign_keys(rows).collect()] == [(1, 2, 5), (3, 2, -1), (-1, 1, -1)]
 
 
 def test_command_line(spark, tmp_path, capsys):

@@ -78,17 +78,20 @@ def merge_market(spark: SparkSession, bronze: str, silver: str, state_path: str,
 
 
 def silver_observations(spark: SparkSession, bronze: str, corrected_periods: bool = False,
-                        distinguish_aggregates: bool = False) -> DataFrame:
-    """Bronze points of all batches to the newest observation per key."""
+                        distinguish_aggregates: bool = False, source_format: str = "ndjson") -> DataFrame:
+    """Bronze points of all batches, or observations as CSV, to the newest observation per key."""
+    if source_format == "csv":
+        return dedup.latest_observations(files.read_csv(spark, bronze, catalog.OBSERVATION), distinguish_aggregates)
     points = files.read_json_lines(spark, bronze, catalog.POINT, name_glob="*.ndjson")
     rows = payloads.observations(points.where(F.col("indicator").isNotNull()), corrected_periods)
     return dedup.latest_observations(rows, distinguish_aggregates)
 
 
-def merge_macro(spark: SparkSession, bronze: str, silver: str, state_path: str) -> bool:
+def merge_macro(spark: SparkSession, bronze: str, silver: str, state_path: str,
+                source_format: str = "ndjson") -> bool:
     """Macro merge into ``silver``, partitioned by year, clustered by indicator and country."""
     def work() -> None:
-        writers.write_partitioned(silver_observations(spark, bronze), silver, ["year"],
+        writers.write_partitioned(silver_observations(spark, bronze, source_format=source_format), silver, ["year"],
                                   ["indicator_id", "country_iso3", "date"])
     return gated(spark, state_path, "macro/observations", bronze, work)
 
@@ -229,13 +232,18 @@ def schemas_of(star: Star) -> dict[str, str]:
     return {name: star[name].schema.simpleString()[len("struct<"):-1] for name in star.tables}
 
 
-def export_catalog(spark: SparkSession, tables: Mapping[str, DataFrame], database: str, path: str) -> DataFrame:
-    """Catalog of tables and columns as JSON, one table per line; returns what was written."""
-    columns = spark.createDataFrame(aggregates.schema_rows(tables),
-                                    "table string, position int, column string, type string")
-    described = (columns.groupBy(F.lit(database).alias("database"), "table")
-                 .agg(F.sort_array(F.collect_list(F.struct("position", "column", "type"))).alias("columns")))
-    listed = described.withColumn("columns", F.transform(
-        "columns", lambda c: F.struct(c["column"].alias("name"), c["type"].alias("type"))))
-    listed.write.mode("overwrite").json(path)
+def export_catalog(spark: SparkSession, databases: Mapping[str, Mapping[str, DataFrame]], root: str,
+                   path: str) -> DataFrame:
+    """Catalog as JSON: ``databases`` with their locations and ``tables`` with their columns.
+
+    Reads schemas only. Returns the tables: ``(database, name, location, columns)``.
+    """
+    described = [(database, name, f"{root}/{database}/{name}", [(column, kind) for _, _, column, kind in rows])
+                 for database, tables in databases.items() for name, frame in tables.items()
+                 for rows in [aggregates.schema_rows({name: frame})]]
+    listed = spark.createDataFrame(
+        described, "database string, name string, location string, columns array<struct<name: string, type: string>>")
+    located = spark.createDataFrame([(d, f"{root}/{d}") for d in databases], "name string, location string")
+    located.write.mode("overwrite").json(f"{path}/databases")
+    listed.write.mode("overwrite").json(f"{path}/tables")
     return listed

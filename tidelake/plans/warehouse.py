@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidelake.functions import ASSET_CLASS_IDS, CURRENCY_IDS, code_id, or_unknown, symbol_class
+from tidelake.functions import ASSET_CLASS_IDS, CURRENCY_IDS, UNKNOWN_ID, code_id, or_unknown, symbol_class
 from tidelake.operators.dedup import keep_latest, latest_bars
 from tidelake.operators.joins import insert_or_ignore, lookup, salted_lookup, unmatched
 from tidelake.operators.keys import with_dense_key
@@ -83,13 +83,19 @@ def seed_reference(spark: SparkSession, dimension: str, incoming: DataFrame, key
 
 
 def with_foreign_keys(instruments: DataFrame) -> DataFrame:
-    """Fill id columns from the text columns ``asset_class`` and ``currency``."""
+    """Fill id columns from the text columns ``asset_class`` and ``currency``.
+
+    Columns that are missing start from their default; ids other than the default stay.
+    """
+    def present(name: str, default: int) -> Column:
+        return F.coalesce(F.col(name), F.lit(default)) if name in instruments.columns else F.lit(default)
+
+    asset_class, currency = present("asset_class_id", UNKNOWN_ID), present("currency_id", CURRENCY_IDS["USD"])
+    unset = (currency == CURRENCY_IDS["USD"]) & F.col("currency").isNotNull()
     return instruments.withColumns({
-        "asset_class_id": code_id("asset_class", ASSET_CLASS_IDS),
-        # a missing currency keeps the default
-        "currency_id": F.when(F.col("currency").isNull(), CURRENCY_IDS["USD"])
-                        .otherwise(code_id("currency", CURRENCY_IDS)),
-        "sector_id": F.lit(-1),
+        "asset_class_id": F.when(asset_class == UNKNOWN_ID, code_id("asset_class", ASSET_CLASS_IDS)).otherwise(asset_class),
+        "currency_id": F.when(unset, code_id("currency", CURRENCY_IDS)).otherwise(currency),
+        "sector_id": present("sector_id", UNKNOWN_ID),
     })
 
 
