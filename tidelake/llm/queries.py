@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.llm import exact_dedup, secret_scan
+from tidelake.llm import bpe, exact_dedup, packing, secret_scan, warc
 from tidelake.llm.common import table
 from tidelake.llm.registry import ORACLES, QUERIES, registered
 
@@ -66,3 +66,26 @@ def op7_secret_scan(spark, sf_dir):
     return found.select(F.col("path").alias("doc_id"), *[count(kind) for kind in kinds],
                         F.sha2(secret_scan.joined_spans(base), 256).alias("base_sha256"),
                         secret_scan.joined_spans(F.col("spans")).alias("spans"))
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@registered("op5_byte_bpe")
+def op5_byte_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.read_ranks(_vocabulary("byte_bpe_50k.tiktoken")))
+
+
+@registered("op9_best_fit_packing")
+def op9_best_fit_packing(spark, sf_dir):
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return packing.packed(pieces)
+
+
+@registered("op10_warc_derivatives")
+def op10_warc_derivatives(spark, sf_dir):
+    out = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return out.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest",
+                      "content_length", F.to_json("headers").alias("headers"), "block")
