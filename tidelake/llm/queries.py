@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.llm import bpe, exact_dedup, packing, secret_scan, warc
+from tidelake.llm import bpe, exact_dedup, packing, quality, secret_scan, warc
 from tidelake.llm.common import table
 from tidelake.llm.registry import ORACLES, QUERIES, registered
 
@@ -89,3 +89,12 @@ def op10_warc_derivatives(spark, sf_dir):
     out = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
     return out.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest",
                       "content_length", F.to_json("headers").alias("headers"), "block")
+
+
+@registered("op6_quality_classifier")
+def op6_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model, ratios = quality.learn(docs, table(spark, sf_dir, "labels"), "quality", lambda c: ~quality.held_out(c))
+    return quality.scored(docs, model, ratios).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
