@@ -74,3 +74,22 @@ def connected(links: DataFrame) -> DataFrame:
         state = summary
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
         edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+
+
+#: Keys that hold over 1 / HEAVY of all rows are fewer than HEAVY, which bounds what is broadcast.
+HEAVY = 1000
+
+
+def spread_join(rows: DataFrame, side: DataFrame, key: str, of: str) -> DataFrame:
+    """Left join of ``rows.key`` with ``side.of``, unique there, in which no key gathers more than a thousandth of the rows.
+
+    Rows of heavier keys meet their part of the side by broadcast, at most a thousand rows of it; all others by an
+    exchange. ``rows`` is read three times, so it should be stored.
+    """
+    total = rows.count()
+    heavy = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__heavy")).count().where(F.col("count") * HEAVY > total)
+    heavy = checkpointed(heavy.select("__heavy"))
+    hot = F.col(key) == F.col("__heavy")
+    few = side.join(F.broadcast(heavy), F.col(of) == F.col("__heavy"), "left_semi")
+    many = rows.join(F.broadcast(heavy), hot, "left_anti").join(side, F.col(key) == F.col(of), "left")
+    return rows.join(F.broadcast(heavy), hot, "left_semi").join(F.broadcast(few), F.col(key) == F.col(of), "left").unionByName(many)

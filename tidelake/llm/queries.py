@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.llm import bpe, exact_dedup, packing, quality, secret_scan, warc
+from tidelake.llm import bpe, exact_dedup, ngram_join, packing, quality, secret_scan, warc
 from tidelake.llm.common import table
 from tidelake.llm.registry import ORACLES, QUERIES, registered
 
@@ -98,3 +98,9 @@ def op6_quality_classifier(spark, sf_dir):
     return quality.scored(docs, model, ratios).select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@registered("op1_ngram_join")
+def op1_ngram_join(spark, sf_dir):
+    out = ngram_join.classes(table(spark, sf_dir, "documents"), width=4, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id")
