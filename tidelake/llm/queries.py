@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.llm import bpe, exact_dedup, ngram_join, packing, quality, secret_scan, warc
+from tidelake.llm import bpe, exact_dedup, line_dedup, ngram_join, packing, quality, secret_scan, warc
 from tidelake.llm.common import table
 from tidelake.llm.registry import ORACLES, QUERIES, registered
 
@@ -104,3 +104,36 @@ def op6_quality_classifier(spark, sf_dir):
 def op1_ngram_join(spark, sf_dir):
     out = ngram_join.classes(table(spark, sf_dir, "documents"), width=4, percent=85)
     return out.select("doc_id", "n_shingles", "component_id")
+
+
+@registered("op2_line_dedup", r"""
+    WITH every AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS idx FROM documents),
+    lines AS (SELECT doc_id, idx, CAST('0x' || substr(md5(trim(line, ' ' || chr(9) || chr(13))), 1, 15) AS BIGINT) AS h,
+                     row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS pos
+              FROM every WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''),
+    grams AS (SELECT *, max(pos) OVER (PARTITION BY doc_id) AS last FROM (
+                  SELECT doc_id, pos, h, lead(h) OVER (PARTITION BY doc_id ORDER BY pos) AS h2 FROM lines) WHERE h2 IS NOT NULL),
+    windows AS (SELECT s.doc_id, s.pos AS start, g.pos, g.h, g.h2,
+                       row_number() OVER (PARTITION BY s.doc_id, s.pos ORDER BY g.h, g.h2, g.pos DESC) AS rank
+                FROM grams s JOIN grams g ON g.doc_id = s.doc_id AND g.pos BETWEEN s.pos AND s.pos + 1
+                WHERE s.pos < s.last OR s.last = 0),
+    chosen AS (SELECT DISTINCT doc_id, pos, h, h2 FROM windows WHERE rank = 1),
+    firsts AS (SELECT h, h2, min(row(doc_id, pos)) AS f FROM chosen GROUP BY h, h2),
+    seeds AS (SELECT c.doc_id, c.pos, f[1] AS first, c.pos - f[2] AS shift FROM chosen c JOIN firsts USING (h, h2)
+              WHERE row(c.doc_id, c.pos) > f),
+    equal AS (SELECT d.doc_id, d.first, d.shift, b.pos, b.idx,
+                     b.pos - row_number() OVER (PARTITION BY d.doc_id, d.first, d.shift ORDER BY b.pos) AS island
+              FROM (SELECT DISTINCT doc_id, first, shift FROM seeds) d
+              JOIN lines b ON b.doc_id = d.doc_id JOIN lines a ON a.doc_id = d.first AND a.pos = b.pos - d.shift AND a.h = b.h),
+    dead AS (SELECT DISTINCT e.doc_id, e.idx FROM equal e WHERE (e.doc_id, e.first, e.shift, e.island) IN (
+                 SELECT (x.doc_id, x.first, x.shift, x.island) FROM equal x JOIN seeds s
+                 ON s.doc_id = x.doc_id AND s.first = x.first AND s.shift = x.shift AND s.pos = x.pos)),
+    kept AS (SELECT e.doc_id, count(*) AS n_lines, count(d.idx) AS n_deleted,
+                    string_agg(e.line, chr(10) ORDER BY e.idx) FILTER (d.idx IS NULL) AS rest
+             FROM every e LEFT JOIN dead d ON d.doc_id = e.doc_id AND d.idx = e.idx GROUP BY e.doc_id)
+    SELECT t.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted,
+           CASE WHEN n_deleted > 0 THEN coalesce(rest, '') ELSE t.text END AS text
+    FROM documents t LEFT JOIN kept k ON k.doc_id = t.doc_id""")
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents"))
