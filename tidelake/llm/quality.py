@@ -229,8 +229,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def scored(docs: DataFrame, model: Model, ratios: np.ndarray) -> DataFrame:
-    """(doc_id, score) of each row, from its whole text alone; null and empty texts have the bias's score."""
+def _mapped(docs: DataFrame, schema, model: Model, ratios: np.ndarray,
+            rows: Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch]) -> DataFrame:
+    """Map runs of rows with the scores of their texts."""
     scaled = docs.sparkSession.sparkContext.broadcast((
         (model.weights * ratios).astype(np.float64), ratios ** 2, model.bias, model.slope, model.offset))
 
@@ -242,9 +243,18 @@ def scored(docs: DataFrame, model: Model, ratios: np.ndarray) -> DataFrame:
                 total = np.bincount(row, weights[feature], end - first)
                 norm = np.sqrt(np.bincount(row, squares[feature], end - first))
                 log_odds = slope * (bias + total / np.maximum(norm, 1e-12)) + offset
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(first, end - first), pa.array(1 / (1 + np.exp(-np.clip(log_odds, -30, 30))))],
-                    names=["doc_id", "score"])
+                yield rows(batch.slice(first, end - first), 1 / (1 + np.exp(-np.clip(log_odds, -30, 30))))
+
+    return docs.mapInArrow(run, schema)
+
 
+def scored(docs: DataFrame, model: Model, ratios: np.ndarray) -> DataFrame:
+    """(doc_id, score) of each row, from its whole text alone; null and empty texts have the bias's score."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, score double")
+    return _mapped(plain, "doc_id long, score double", model, ratios, lambda batch, score: pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"]))
+
+
+def accepted(docs: DataFrame, model: Model, ratios: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score reaches the threshold, with all their columns; no exchange."""
+    return _mapped(docs, docs.schema, model, ratios, lambda batch, score: batch.filter(pa.array(score >= threshold)))

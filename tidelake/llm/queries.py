@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.llm import bpe, exact_dedup, line_dedup, ngram_join, packing, quality, secret_scan, warc
+from tidelake.llm import ann, bpe, exact_dedup, line_dedup, ngram_join, packing, quality, secret_scan, url_filter, warc
 from tidelake.llm.common import table
 from tidelake.llm.registry import ORACLES, QUERIES, registered
 
@@ -137,3 +137,14 @@ def op1_ngram_join(spark, sf_dir):
     FROM documents t LEFT JOIN kept k ON k.doc_id = t.doc_id""")
 def op2_line_dedup(spark, sf_dir):
     return line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@registered("op4_inverted_multi_index")
+def op4_inverted_multi_index(spark, sf_dir):
+    out = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return out.select("query_id", "rank", F.col("neighbour").alias("vec_id"), "score")
+
+
+@registered("op8_url_filter")
+def op8_url_filter(spark, sf_dir):
+    return url_filter.filtered(table(spark, sf_dir, "pages"))

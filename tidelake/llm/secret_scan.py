@@ -8,6 +8,7 @@ all paths that ever held the blob. A blob found under thousands of paths is thus
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -61,6 +62,11 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
         F.array().cast(SPAN))
 
 
+def suspected(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether any rule matches at all; a match may still be too short to be kept."""
+    return reduce(lambda a, b: a | b, [F.rlike(text, F.lit(rule.pattern)) for rule in rules])
+
+
 def version_of(rules: tuple[Rule, ...]) -> str:
     return ",".join(f"{r.kind}:{r.version}" for r in rules)
 
@@ -113,7 +119,7 @@ def findings(paths: DataFrame, ledger: DataFrame) -> DataFrame:
     """
     held = ledger.where(F.size("spans") > 0).select(F.col("blob").alias("found"), "spans")
     joined = paths.join(held, F.col("blob") == F.col("found"), "left")
-    return joined.select("path", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
+    return joined.select("path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
 
 def joined_spans(found: Column) -> Column:
