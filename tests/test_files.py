@@ -125,3 +125,21 @@ def test_registry(spark, tmp_path):
     put(tmp_path, "gold/positions/p.csv", "symbol,qty,avg_price,market_price,pnl\nA,1,2.0,3.5,1.5\nB,2,2.0,1.0,-2.0\n")
     catalog.register_tables(spark, str(tmp_path), "gold.positions")
     assert adhoc.query(spark, "SELECT sum(pnl) AS total FROM gold_positions WHERE qty >= :least", least=1).first()["total"] == -0.5
+
+
+def test_csv_of_other_writers(spark, tmp_path):
+    path = put(tmp_path, "t.csv", 'id,name,n\n1,"Land ""A"", north",5\n2,"two\nlines",6\n3,"",\n4,,7\n5, kept ,8\n')
+    rows = files.read_csv(spark, path, "id int, name string, n int").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, 'Land "A", north', 5), (2, "two\nlines", 6), (3, "", None), (4, None, 7), (5, " kept ", 8)]
+
+
+def test_csv_export_doubles_its_quotes(spark, tmp_path):
+    rows = [(1, 'say "x", y'), (2, ""), (3, None), (4, "back\\slash"), (5, "a\r\nb")]
+    writers.write_csv(spark.createDataFrame(rows, "id int, name string").coalesce(1), str(tmp_path / "out"))
+    [part] = (tmp_path / "out").glob("*.csv")
+    assert 'say ""x"", y' in part.read_text()
+    import csv
+    with open(part, newline="") as file:
+        assert [r["name"] for r in csv.DictReader(file)] == ['say "x", y', "", "", "back\\slash", "a\r\nb"]
+    back = files.read_csv(spark, str(tmp_path / "out"), "id int, name string")
+    assert sorted(map(tuple, back.collect())) == rows

@@ -162,11 +162,11 @@ def test_warehouse_load_from_silver(spark, tmp_path):
     points = files.read_json_lines(spark, str(tmp_path / "points.ndjson"), catalog.POINT)
     from tidelake.sources.payloads import observations
     star = warehouse.load_star(spark, warehouse.Silver(bars, observations(points)))
-    assert [r["instrument_id"] for r in star["dim_instrument"].orderBy("instrument_id").collect()] == [-1, 0, 1]  # numbering continues after the unknown member
+    assert [r["instrument_id"] for r in star["dim_instrument"].orderBy("instrument_id").collect()] == [-1, 1, 2]
     assert {r["country_iso3"]: r["value"] for r in star["fact_macro_obs"].collect()} == {"USA": 1.0, "UNK": 7.0}
     assert star["fact_market_ohlcv"].count() == 3 and star["fact_filings"].count() == 0
     views = Views(star)
     assert views.instrument_detail.count() == 3 and views.master_equity.count() == 2
     assert {(r["table_name"], r["row_count"], r["sources"]) for r in views.source_coverage.collect()} == {
-        ("dim_instrument", 1, 1), ("fact_market_ohlcv", 3, 1), ("fact_macro_obs", 2, 1), ("fact_crypto_ohlcv", 0, 0),
+        ("dim_instrument", 2, 1), ("fact_market_ohlcv", 3, 1), ("fact_macro_obs", 2, 1), ("fact_crypto_ohlcv", 0, 0),
         ("fact_rates_daily", 0, 0), ("fact_filings", 0, 0)}

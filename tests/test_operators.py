@@ -178,19 +178,26 @@ def test_dense_keys_of_nothing(spark):
     assert keys.with_dense_key(empty, ["symbol"], "id", spark.createDataFrame([(3,)], "id bigint")).count() == 0
 
 
-@pytest.mark.parametrize("threshold", ["-1", "10m"])
-def test_salted_lookup_equals_plain_join(spark, threshold):
-    rng = random.Random(7)
-    facts = spark.createDataFrame([(0 if rng.random() < 0.5 else rng.randrange(30), i) for i in range(4000)], "k int, v int")
-    dimension = spark.createDataFrame([(k, f"n{k}") for k in range(0, 30, 2)] + [(4, "again")], "k int, name string")
-    expected = tuples(facts.join(dimension, "k"), "k", "v", "name")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+def test_lookup_spreads_a_hot_key(spark):
+    """A third of the facts have one key: no task gets more than a small part of them."""
+    rows = 240_000
+    facts = spark.range(0, rows, 1, 24).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    dimension = spark.range(5000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        salted = joins.salted_lookup(facts, dimension, "k", rows_per_task=100)
-        assert tuples(salted, "k", "v", "name") == expected
+        joined = joins.lookup(facts, dimension, "k")
+        sizes = [r["count"] for r in joined.withColumn("task", F.spark_partition_id()).where("k = 0").groupBy("task").count().collect()]
+        assert sum(sizes) >= rows / 3 and len(sizes) >= 4 and max(sizes) < rows / 8
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_insert_or_ignore(spark):
@@ -234,3 +241,17 @@ def test_positions_profit(spark):
     held = aggregates.positions(fills, last)
     assert tuples(held, "symbol", "qty", "avg_price", "pnl") == [("A", 20, 6.0, 10.0), ("B", 1, 3.0, -1.0)]
     assert aggregates.portfolio_total(held).first()["total_pnl"] == 9.0
+    signed = spark.createDataFrame([("A", 10, 5.0), ("A", -4, 9.0), ("B", -3, 2.0), ("B", 1, 7.0), ("C", 2, 1.0), ("C", -2, 4.0)],
+                                   "symbol string, quantity int, price double")
+    last = spark.createDataFrame([("A", 6.0), ("B", 1.5), ("C", 9.0)], "symbol string, market_price double")
+    rows = [("A", 6, 5.0, 6.0), ("B", -2, 2.0, 1.0), ("C", 0, None, 0.0)]
+    assert tuples(aggregates.positions(signed, last), "symbol", "qty", "avg_price", "pnl") == rows
+    sides = signed.select("symbol", F.when(F.col("quantity") < 0, "sell").otherwise("BUY").alias("side"),
+                          F.abs("quantity").alias("quantity"), "price")
+    assert tuples(aggregates.positions(sides, last), "symbol", "qty", "avg_price", "pnl") == rows
+
+
+def test_indicator_report_has_no_cap(spark):
+    rows = spark.range(2500).select(F.lit("I").alias("indicator_id"), F.format_string("C%04d", "id").alias("country_iso3"),
+                                    F.lit("2022").alias("date"), F.lit(1.0).alias("value"))
+    assert series.indicator_yoy(rows, "I").count() == 2500 and series.indicator_yoy(rows, "I", limit=7).count() == 7

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.functions import money, profit
+from tidelake.functions import UNKNOWN_ID, money, profit
 
 
 def row_count(name: str, table: DataFrame, where: Column | None = None) -> DataFrame:
@@ -28,10 +28,20 @@ def bars(rows: DataFrame, keys: Sequence[str | Column], price: str, volume: Colu
         volume.alias("volume"), *[c.alias(name) for name, c in extra.items()])
 
 
+def exact_sum(column: str | Column) -> Column:
+    """Sum at six decimals: the same in any order of summation. Values of 22 or more integer digits end the job."""
+    return F.sum((F.col(column) if isinstance(column, str) else column).cast("decimal(28,6)"))
+
+
+def exact_mean(column: str) -> Column:
+    """Exact sum, divided once."""
+    return F.try_divide(exact_sum(column).cast("double"), F.count(column))
+
+
 def market_summary(bars_with_symbol: DataFrame) -> DataFrame:
     """Bars, average close, price range and volume per symbol."""
     return bars_with_symbol.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("bars"), F.avg("close").alias("avg_close"),
+        F.count(F.lit(1)).alias("bars"), exact_mean("close").alias("avg_close"),
         F.max("high").alias("max_high"), F.min("low").alias("min_low"),
         F.sum("volume").alias("total_vol"))
 
@@ -43,13 +53,13 @@ def market_summary_from_star(facts: DataFrame, instruments: DataFrame) -> DataFr
     that share a symbol are merged afterwards, so the result equals join-then-group.
     """
     partial = facts.groupBy("instrument_id").agg(
-        F.count(F.lit(1)).alias("bars"), F.sum("close").alias("sum_close"),
+        F.count(F.lit(1)).alias("bars"), exact_sum("close").alias("sum_close"),
         F.count("close").alias("n_close"), F.max("high").alias("max_high"),
         F.min("low").alias("min_low"), F.sum("volume").alias("total_vol"))
     return (partial.join(instruments.select("instrument_id", "symbol"), "instrument_id")
             .groupBy("symbol")
             .agg(F.sum("bars").alias("bars"),
-                 F.try_divide(F.sum("sum_close"), F.sum("n_close")).alias("avg_close"),
+                 F.try_divide(F.sum("sum_close").cast("double"), F.sum("n_close")).alias("avg_close"),
                  F.max("max_high").alias("max_high"), F.min("min_low").alias("min_low"),
                  F.sum("total_vol").alias("total_vol")))
 
@@ -69,7 +79,7 @@ def source_coverage(instruments: DataFrame, market: DataFrame, macro: DataFrame,
     per_instrument = (market.groupBy("instrument_id").agg(every.alias("n"))
                       .join(instruments.select("instrument_id", "_source"), "instrument_id"))
     return union_all([
-        one("dim_instrument", instruments.where(F.col("instrument_id") > 0), every, F.countDistinct("_source")),
+        one("dim_instrument", instruments.where(F.col("instrument_id") != UNKNOWN_ID), every, F.countDistinct("_source")),
         one("fact_market_ohlcv", per_instrument, F.coalesce(F.sum("n"), F.lit(0)), F.countDistinct("_source")),
         one("fact_macro_obs", macro, every, F.countDistinct("source_id")),
         one("fact_crypto_ohlcv", crypto, every, F.coalesce(none, F.lit(0))),
@@ -102,14 +112,26 @@ def money_totals(amounts: DataFrame, amount: str = "amount", currency: str = "cu
 def positions(fills: DataFrame, last_prices: DataFrame) -> DataFrame:
     """Position per symbol with its profit at the last price.
 
-    ``fills(symbol, quantity, price)`` are reduced per symbol before they meet
-    ``last_prices(symbol, market_price)``.
+    ``fills(symbol, quantity, price)`` are reduced per symbol before they meet ``last_prices(symbol, market_price)``.
+    Quantities are positive, with a column ``side`` of BUY and SELL, or signed without it. The average price is that of
+    the open side: of the buys in a long position, of the sells in a short one; a closed position has none and no profit.
     """
-    held = fills.groupBy("symbol").agg(
-        F.sum("quantity").alias("qty"),
-        F.try_divide(F.sum(F.col("quantity") * F.col("price")), F.sum("quantity")).alias("avg_price"))
+    sold = F.upper("side") == "SELL" if "side" in fills.columns else F.col("quantity") < 0
+    size = F.abs("quantity")
+    paid = (F.col("price").cast("decimal(28,6)") * size.cast("decimal(10,0)")).cast("decimal(38,6)")
+
+    def total(value: Column, of: Column) -> Column:
+        return F.coalesce(F.sum(F.when(of, value)), F.lit(0))
+
+    sides = fills.groupBy("symbol").agg(
+        total(size, ~sold).alias("bought"), total(size, sold).alias("sold"),
+        total(paid, ~sold).cast("double").alias("paid"), total(paid, sold).cast("double").alias("received"))
+    qty = F.col("bought") - F.col("sold")
+    held = sides.select("symbol", qty.alias("qty"), F.when(qty > 0, F.col("paid") / F.col("bought")).when(
+        qty < 0, F.col("received") / F.col("sold")).alias("avg_price"))
     return held.join(last_prices, "symbol").select(
-        "symbol", "qty", "avg_price", "market_price", profit("market_price", "avg_price", "qty").alias("pnl"))
+        "symbol", "qty", "avg_price", "market_price",
+        F.coalesce(profit("market_price", "avg_price", "qty"), F.lit(0.0)).alias("pnl"))
 
 
 def portfolio_total(position_rows: DataFrame) -> DataFrame:

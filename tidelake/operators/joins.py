@@ -4,62 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame
 
 from tidelake.operators.dedup import keep_latest
 
-SALT = "_salt"
-PARTS = "_parts"
-ROWS_PER_TASK = 2_000_000
-MOST_SPREAD_KEYS = 10_000
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """Spark's own threshold in bytes; negative when broadcasting is switched off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower().removesuffix("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate of ``df`` is below the broadcast threshold."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= broadcast_limit(df.sparkSession)
-
 
 def lookup(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Inner join with a dimension, for facts whose rows per key are bounded.
+    """Inner join with a dimension; a key may hold any part of the facts.
 
-    No hint: Spark broadcasts the dimension when its size is under the broadcast
-    threshold and shuffles otherwise.
+    No hint: Spark broadcasts the dimension when its size is under the broadcast threshold and shuffles otherwise.
+    In a shuffled join the adaptive skew join, which ``get_session`` switches on, splits a hot key's partition by map
+    output, so that equal rows spread too; the dimension holds one row per key, so copying its side is cheap.
     """
     return facts.join(dimension, on)
 
 
-def salted_lookup(facts: DataFrame, dimension: DataFrame, on: str,
-                  rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Inner join for raw facts, where one key may hold a large part of all rows.
-
-    A dimension below the broadcast threshold joins without moving the facts. Beyond it,
-    keys with more than ``rows_per_task`` facts are spread over several tasks by a hash of
-    the fact row (repeatable when a task is retried), and only their dimension rows are
-    copied as often. At most ``MOST_SPREAD_KEYS`` keys are spread, so the list of them
-    is small enough to broadcast; every other key joins unsalted. Exact for any data.
-    """
-    if fits_broadcast(dimension):
-        return facts.join(dimension, on)
-    heavy = (facts.groupBy(on).agg(F.count(F.lit(1)).alias("_rows"))
-             .where(F.col("_rows") > rows_per_task)
-             .orderBy(F.col("_rows").desc(), on).limit(MOST_SPREAD_KEYS)
-             .select(on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias(PARTS)))
-    parts = F.coalesce(PARTS, F.lit(1))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), parts).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), parts - 1))
-    left = facts.join(F.broadcast(heavy), on, "left").withColumn(SALT, spread).drop(PARTS)
-    right = dimension.join(F.broadcast(heavy), on, "left").withColumn(SALT, copies).drop(PARTS)
-    return left.join(right, [on, SALT]).drop(SALT)
-
-
 def unmatched(rows: DataFrame, existing: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``existing``, which is reduced to its keys before any exchange."""
     keys = [on] if isinstance(on, str) else list(on)

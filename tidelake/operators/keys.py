@@ -18,7 +18,7 @@ def highest_key(table: DataFrame, key: str) -> DataFrame:
 
 def with_dense_key(rows: DataFrame, order: Sequence[str], key: str,
                    existing: DataFrame | None = None) -> DataFrame:
-    """Number ``rows`` 1..n by ``order`` (unique), continuing after ``existing``'s keys.
+    """Number ``rows`` 1..n by ``order`` (unique), continuing after ``existing``'s keys; an unknown member below 0 has no say.
 
     The rows are range-partitioned into slices and checkpointed, since the sampled
     range bounds must not change between counting and numbering. Offsets come from one
@@ -28,7 +28,7 @@ def with_dense_key(rows: DataFrame, order: Sequence[str], key: str,
     sliced = checkpointed(rows.repartitionByRange(*order).withColumn(SLICE, F.spark_partition_id()))
     sizes = sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_size"))
     if existing is not None:
-        base = highest_key(existing, key).select(F.lit(-1).alias(SLICE), F.col("base").alias("_size"))
+        base = highest_key(existing, key).select(F.lit(-1).alias(SLICE), F.greatest("base", F.lit(0)).alias("_size"))
         sizes = sizes.unionByName(base)
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(SLICE, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))

@@ -57,10 +57,10 @@ def with_yoy(observations: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> Data
     return with_previous_value(observations, keys=keys).withColumn("yoy_pct", change("value", "prev_value"))
 
 
-def indicator_yoy(observations: DataFrame, indicator: str, limit: int = 1000) -> DataFrame:
-    """Growth report of one indicator: the first ``limit`` rows by country and date."""
+def indicator_yoy(observations: DataFrame, indicator: str, limit: int | None = None) -> DataFrame:
+    """Growth report of one indicator by country and date; with a ``limit`` only its first rows."""
     rows = with_previous_value(observations.where(F.col("indicator_id") == indicator), name="prev")
-    return (rows.select("indicator_id", "country_iso3", "date", "value", "prev",
-                        relative_difference("value", "prev").alias("yoy"))
-            .orderBy("indicator_id", F.col("country_iso3").asc_nulls_last(), F.col("date").asc_nulls_last())
-            .limit(limit))
+    report = (rows.select("indicator_id", "country_iso3", "date", "value", "prev",
+                          relative_difference("value", "prev").alias("yoy"))
+              .orderBy("indicator_id", F.col("country_iso3").asc_nulls_last(), F.col("date").asc_nulls_last()))
+    return report if limit is None else report.limit(limit)

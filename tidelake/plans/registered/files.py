@@ -28,6 +28,22 @@ def csv_copy(spark, sf_dir):
     return files.read_csv(spark, path, ORDERS, where="o_totalprice > 1000")
 
 
+TEXTS = """
+    SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text WHEN 1 THEN '"' || text || '", ""x""' WHEN 2 THEN '' WHEN 3 THEN NULL
+        ELSE ' ' || chr(10) || text || ',' || chr(13) || chr(10) || ' ' END AS text, lang FROM documents"""
+
+
+@registered("csv_texts", TEXTS)
+def csv_texts(spark, sf_dir):
+    """Texts with quotes, line ends, blanks, empty texts and NULLs, written and read back."""
+    path, text, rest = scratch_path(spark, "texts"), F.col("text"), F.col("doc_id") % 5
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.when(rest == 0, text).when(
+        rest == 1, F.concat(F.lit('"'), text, F.lit('", ""x""'))).when(rest == 2, "").when(
+        rest == 4, F.concat(F.lit(" \n"), text, F.lit(",\r\n "))).alias("text"), "lang")
+    writers.write_csv(rows, path)
+    return files.read_csv(spark, path, "doc_id bigint, text string, lang string")
+
+
 @registered("parquet_copy", ORDERS_SQL + " WHERE o_orderstatus = 'F'")
 def parquet_copy(spark, sf_dir):
     path = scratch_path(spark, "parquet")

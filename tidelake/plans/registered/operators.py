@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelake import functions as fn
 from tidelake.operators import aggregates, dedup, history, joins, keys, quality, series
-from tidelake.plans.registered.registry import registered, rounded, rounded_mean
+from tidelake.plans.registered.registry import registered, rounded
 from tidelake.plans.registered.views import sql
 from tidelake.plans.standins import TABLE_COLUMNS, TABLE_NAMES, StandIns
 from tidelake.sources.writers import with_fixed_prices
@@ -43,7 +43,7 @@ def silver_bars(spark, sf_dir):
         "l_suppkey", F.to_date("l_shipdate").alias("date"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("epoch"), F.col("l_extendedprice").alias("close"),
         F.col("l_quantity").cast("bigint").alias("volume"), F.col("l_partkey").alias("part"))
-    return joins.salted_lookup(rows, symbols, "l_suppkey").drop("l_suppkey")
+    return joins.lookup(rows, symbols, "l_suppkey").drop("l_suppkey")
 
 
 @registered("keep_latest_bars", f"""
@@ -253,11 +253,12 @@ def ticks_per_symbol(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("ticks")).orderBy("symbol"))
 
 
-@registered("average_tick_price", "SELECT event_type AS symbol, round(avg(value) + 1e-8, 6) AS avg_price FROM events GROUP BY event_type")
+@registered("average_tick_price", """
+    SELECT event_type AS symbol, CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) / count(value) AS avg_price
+    FROM events GROUP BY event_type""")
 def average_tick_price(spark, sf_dir):
-    frame = (StandIns(spark, sf_dir).read("events").groupBy(F.col("event_type").alias("symbol"))
-             .agg(F.avg("value").alias("avg_price")))
-    return rounded_mean(frame, avg_price=6)
+    return (StandIns(spark, sf_dir).read("events").groupBy(F.col("event_type").alias("symbol"))
+            .agg(aggregates.exact_mean("value").alias("avg_price")))
 
 
 @registered("highest_key", "SELECT coalesce(max(s_suppkey), 0) AS base FROM supplier")
@@ -274,25 +275,30 @@ def distinct_seeds(spark, sf_dir):
 LAST_PRICES = """
     SELECT l_suppkey AS symbol, arg_max(l_extendedprice, row(l_orderkey, l_linenumber, l_extendedprice)) AS market_price
     FROM lineitem GROUP BY 1"""
+# returned lines are sales
 POSITIONS = f"""
-    SELECT symbol, CAST(qty AS BIGINT) AS qty, round(avg_price + 1e-8, 4) AS avg_price, market_price,
-        round((market_price - avg_price) * CAST(qty AS DOUBLE), 2) AS pnl
-    FROM (SELECT symbol, qty, CAST(amount AS DOUBLE) / CAST(qty AS DOUBLE) AS avg_price FROM (
-        SELECT l_suppkey AS symbol, sum(CAST(l_quantity AS DECIMAL(10,0))) AS qty,
-            sum(CAST(l_quantity AS DECIMAL(10,0)) * CAST(l_extendedprice AS DECIMAL(18,2))) AS amount
-        FROM lineitem GROUP BY 1)) JOIN ({LAST_PRICES}) USING (symbol)"""
+    SELECT symbol, qty, avg_price, market_price, coalesce(round((market_price - avg_price) * CAST(qty AS DOUBLE), 2), 0) AS pnl
+    FROM (SELECT symbol, CAST(bought - sold AS BIGINT) AS qty, CASE WHEN bought > sold THEN CAST(paid AS DOUBLE) / CAST(bought AS DOUBLE)
+            WHEN sold > bought THEN CAST(received AS DOUBLE) / CAST(sold AS DOUBLE) END AS avg_price FROM (
+        SELECT l_suppkey AS symbol, coalesce(sum(n) FILTER (l_returnflag <> 'R'), 0) AS bought,
+            coalesce(sum(n) FILTER (l_returnflag = 'R'), 0) AS sold, sum(n * p) FILTER (l_returnflag <> 'R') AS paid,
+            sum(n * p) FILTER (l_returnflag = 'R') AS received
+        FROM (SELECT *, CAST(l_quantity AS DECIMAL(10,0)) AS n, CAST(l_extendedprice AS DECIMAL(18,2)) AS p FROM lineitem) GROUP BY 1))
+    JOIN ({LAST_PRICES}) USING (symbol)"""
 
 
 def position_rows(spark, sf_dir):
     trades = StandIns(spark, sf_dir).trades.withColumnRenamed("instrument_id", "symbol")
-    fills = trades.select("symbol", F.col("quantity").cast("bigint").alias("quantity"), "price")
+    fills = StandIns(spark, sf_dir).read("lineitem").select(
+        F.col("l_suppkey").alias("symbol"), F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY").alias("side"),
+        F.col("l_quantity").cast("bigint").alias("quantity"), F.col("l_extendedprice").alias("price"))
     last = trades.groupBy("symbol").agg(F.max_by("price", "sequence").alias("market_price"))
     return aggregates.positions(fills, last)
 
 
 @registered("positions", POSITIONS)
 def positions(spark, sf_dir):
-    return rounded_mean(position_rows(spark, sf_dir), avg_price=4)
+    return position_rows(spark, sf_dir)
 
 
 @registered("portfolio_total", f"SELECT round(sum(pnl), 2) AS total_pnl FROM ({POSITIONS})")
@@ -345,12 +351,18 @@ def schema_summary(spark, sf_dir):
 
 # --- series on raw tables --------------------------------------------------------
 
-@registered("indicator_yoy", sql("""
+@registered("indicator_yoy", """
+    WITH months AS (SELECT l_returnflag AS indicator_id, 'S' || l_suppkey AS country_iso3, strftime(l_shipdate, '%Y-%m') AS date,
+        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM lineitem GROUP BY ALL)
     SELECT indicator_id, country_iso3, date, value, prev, (value - prev) / nullif(prev, 0) AS yoy FROM (
-        SELECT *, lag(value) OVER (PARTITION BY indicator_id, country_iso3 ORDER BY date) AS prev FROM fact_macro_obs
-        WHERE indicator_id = '2-HIGH') ORDER BY indicator_id, country_iso3, date LIMIT 1000"""))
+        SELECT *, lag(value) OVER (PARTITION BY country_iso3 ORDER BY date) AS prev FROM months WHERE indicator_id = 'N')""")
 def indicator_yoy(spark, sf_dir):
-    return series.indicator_yoy(StandIns(spark, sf_dir).fact_macro_obs, "2-HIGH")
+    """The whole report: monthly trade per supplier, thousands of rows."""
+    months = StandIns(spark, sf_dir).read("lineitem").groupBy(
+        F.col("l_returnflag").alias("indicator_id"), F.concat(F.lit("S"), "l_suppkey").alias("country_iso3"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("date")).agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("value"))
+    return series.indicator_yoy(months, "N")
 
 
 @registered("tick_bars", sql("SELECT * FROM tick_bars"))

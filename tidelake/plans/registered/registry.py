@@ -26,11 +26,3 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Round doubles whose last bits depend on summation order or the math library."""
     return df.withColumns({name: F.round(name, n) for name, n in digits.items()})
 
-
-# Added to means before rounding: a mean of cents over n rows can end in an exact 5,
-# which the last bit of a sum would then round either way.
-NUDGE = 1e-8
-
-
-def rounded_mean(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({name: F.round(F.col(name) + NUDGE, n) for name, n in digits.items()})

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.functions import ASSET_CLASS_IDS
 from tidelake.operators import aggregates, series
-from tidelake.operators.joins import lookup, salted_lookup
+from tidelake.operators.joins import lookup
 
 # Fixed values
 WORLD_BANK = "worldbank"
@@ -112,7 +112,7 @@ class Views:
     @property
     def market_filings(self) -> DataFrame:
         instruments = self.star["dim_instrument"].select("instrument_id", "symbol")
-        return salted_lookup(self.star["fact_filings"], instruments, "instrument_id").select(
+        return lookup(self.star["fact_filings"], instruments, "instrument_id").select(
             "symbol", "accession_number", "filing_date", "form_type", "entity_name", "url")
 
     @property

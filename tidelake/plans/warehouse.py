@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelake.functions import ASSET_CLASS_IDS, CURRENCY_IDS, UNKNOWN_ID, code_id, or_unknown, symbol_class
 from tidelake.operators.dedup import keep_latest, latest_bars
-from tidelake.operators.joins import insert_or_ignore, lookup, salted_lookup, unmatched
+from tidelake.operators.joins import insert_or_ignore, lookup, unmatched
 from tidelake.operators.keys import with_dense_key
 from tidelake.plans.reference import reference_rows, unknown_instrument
 from tidelake.plans.views import Star
@@ -139,7 +139,7 @@ def rates_fact(rates: DataFrame, source_id: str) -> DataFrame:
 
 def filings_fact(filings: DataFrame, instruments: DataFrame) -> DataFrame:
     """Filings with their instrument id; one filer may own a large share of them."""
-    rows = salted_lookup(filings, instruments.select("instrument_id", "symbol"), "symbol")
+    rows = lookup(filings, instruments.select("instrument_id", "symbol"), "symbol")
     return rows.select("instrument_id", "accession_number", "filing_date", "form_type", "entity_name", "url")
 
 

@@ -13,9 +13,21 @@ def _struct(schema: Schema) -> StructType:
     return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: Schema, where: str | Column | None = None) -> DataFrame:
-    """CSV with a header line; ``where`` filters while parsing."""
-    rows = spark.read.schema(_struct(schema)).option("header", True).option("enforceSchema", False).csv(path)
+#: Quotes inside a field are doubled and fields may hold line ends. An empty field is NULL, ``""`` is the empty text: the
+#: parser marks the former by a text that no file holds.
+CSV_DIALECT = {"quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\ue000null\ue000", "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: Schema, where: str | Column | None = None,
+             multi_line: bool = True) -> DataFrame:
+    """CSV with a header line; ``where`` filters while parsing.
+
+    A file is read by one task, since a line end may stand inside quotes. Where no field holds one, ``multi_line=False`` lets
+    Spark split large files.
+    """
+    rows = (spark.read.schema(_struct(schema)).options(**CSV_DIALECT).option("header", True).option("enforceSchema", False)
+            .option("multiLine", multi_line).csv(path))
     return rows if where is None else rows.where(where)
 
 

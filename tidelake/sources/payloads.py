@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.functions import epoch_date, exchange_date, leading_number, period_type
 from tidelake.operators.dedup import keep_latest
-from tidelake.operators.joins import salted_lookup
+from tidelake.operators.joins import lookup
 
 # Layouts of the payloads
 CHART = """struct<chart: struct<result: array<struct<
@@ -76,7 +76,7 @@ def chart_bars(payloads: DataFrame, missing_as_nan: bool = False) -> DataFrame:
     return bars.select(
         "symbol", exchange_date("bar.epoch").alias("date"), F.col("bar.epoch").alias("epoch"), *prices.values(),
         F.coalesce("bar.adj_close", "bar.close", missing).alias("adj_close"),
-        F.coalesce(F.col("bar.volume").cast("bigint"), F.lit(0)).alias("volume"))
+        F.coalesce(F.col("bar.volume").try_cast("bigint"), F.lit(0)).alias("volume"))
 
 
 def chart_rejects(payloads: DataFrame) -> DataFrame:
@@ -99,33 +99,36 @@ def kline_bars(payloads: DataFrame) -> DataFrame:
 
 # --- macro pages ----------------------------------------------------------------
 
-def _envelope(payloads: DataFrame, records: str | None = None) -> DataFrame:
-    """Split the two-element array ``[page description, records]``."""
-    page = F.from_json(F.get_json_object("raw", "$[0]"), PAGE).alias("_page")
-    rows = [] if records is None else [F.from_json(F.get_json_object("raw", "$[1]"), records).alias("_records")]
-    return payloads.select("*", page, *rows)
+def _page(raw: str = "raw") -> Column:
+    """Description of a page, the first element of ``[page description, records]``; what follows it is not read."""
+    return F.from_json(F.get_json_object(raw, "$[0]"), PAGE)
+
+
+def _records(raw: str, schema: str) -> Column:
+    """Records of a page, its second element, from one parse; NULL where the text is no such array."""
+    return F.try_variant_get(F.try_parse_json(raw), "$[1]", schema)
 
 
 def observation_points(payloads: DataFrame) -> DataFrame:
     """``(batch, raw)`` result pages to points carrying ``_lastupdated`` and ``_sourceid``.
 
     All points of a batch carry the stamp of its first page. A page without records
-    gives no rows. The stamps are joined to the unparsed pages, by batch and salted, since
-    one batch may hold a large part of all pages.
+    gives no rows. Pages are parsed where they are read; only their records meet the stamps, of which there is one
+    per batch. One batch may hold a large part of all pages, see ``lookup``.
     """
-    pages = payloads.select("batch", "raw")
     stamps = keep_latest(
-        _envelope(pages).select("batch", "_page.page", F.col("_page.lastupdated").alias("_lastupdated"),
-                                F.col("_page.sourceid").alias("_sourceid")),
+        payloads.select("batch", _page().alias("_page")).select(
+            "batch", "_page.page", F.col("_page.lastupdated").alias("_lastupdated"), F.col("_page.sourceid").alias("_sourceid")),
         ["batch"], [F.col("page").asc_nulls_last()]).drop("page")
-    stamped = _envelope(salted_lookup(pages, stamps, "batch"), POINTS)
+    parsed = payloads.select("batch", _records("raw", POINTS).alias("_records")).where(F.size("_records") > 0)
+    stamped = lookup(parsed, stamps, "batch")
     return stamped.select("batch", F.explode("_records").alias("p"), "_lastupdated", "_sourceid").select(
         "batch", "p.*", "_lastupdated", "_sourceid")
 
 
 def page_metadata(payloads: DataFrame) -> DataFrame:
     """Run bookkeeping per batch: ``(batch, pages, total, lastupdated)`` of the first page."""
-    pages = _envelope(payloads.select("batch", "raw")).select("batch", "_page.*")
+    pages = payloads.select("batch", _page().alias("_page")).select("batch", "_page.*")
     return keep_latest(pages, ["batch"], [F.col("page").asc_nulls_last()]).select(
         "batch", "pages", "total", "lastupdated")
 
@@ -143,7 +146,7 @@ def observations(points: DataFrame, corrected_periods: bool = False) -> DataFram
 
 def indicator_list(payloads: DataFrame) -> DataFrame:
     """``raw`` indicator pages to indicator descriptions."""
-    records = _envelope(payloads.select("raw"), INDICATORS).select(F.explode("_records").alias("i"))
+    records = payloads.select(F.explode(_records("raw", INDICATORS)).alias("i"))
     return records.where("i.id IS NOT NULL").select(
         F.col("i.id").alias("indicator_id"), F.col("i.name").alias("indicator_name"), F.col("i.unit").alias("unit"),
         F.col("i.source.id").alias("source_id"), F.col("i.source.value").alias("source_name"),

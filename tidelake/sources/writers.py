@@ -43,7 +43,9 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, sort_by: Sequ
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV that other readers take as well: doubled quotes, NULL as an empty field, the empty text in quotes."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", '""')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def _spread_by(df: DataFrame, key: str) -> DataFrame:
