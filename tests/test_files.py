@@ -77,12 +77,12 @@ def test_raw_write_replaces_only_its_keys(spark, tmp_path):
     rows = spark.createDataFrame([("A", "one"), ("B", "two")], "symbol string, value string")
     writers.write_raw(rows, path, "symbol")
     writers.write_raw(spark.createDataFrame([("A", "new")], "symbol string, value string"), path, "symbol")
-    stored = {r["source_key"]: r["raw"].strip() for r in files.read_payloads(spark, path, "*.txt").collect()}
+    stored = {r["source_key"]: r["raw"].strip() for r in files.read_payloads(spark, path, "_raw*.json").collect()}
     assert stored == {"A": "new", "B": "two"}
     history = str(tmp_path / "history")
     writers.write_raw(rows, history, "symbol", keep_history=True)
     writers.write_raw(rows, history, "symbol", keep_history=True)
-    assert files.read_payloads(spark, history, "*.txt").count() == 4
+    assert files.read_payloads(spark, history).count() == 4
 
 
 def test_half_written_versions_stay_invisible(spark, tmp_path):

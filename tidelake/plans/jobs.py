@@ -63,9 +63,9 @@ def silver_bars(spark: SparkSession, bronze: str, source_format: str = "ndjson")
         audited = rows
     else:
         rows = files.read_json_lines(spark, bronze, catalog.BRONZE_BAR, name_glob="*.ndjson")
-        audited = rows.select("symbol", F.col("date").cast("date").alias("date"), "epoch", "open", "high", "low",
+        audited = rows.select("symbol", F.col("date").try_cast("date").alias("date"), "epoch", "open", "high", "low",
                               "close", F.coalesce("adj_close", "adjClose").alias("adj_close"), "volume", "_ingest_ts")
-    known = audited.where(F.col("symbol").isNotNull())
+    known = audited.where(F.col("symbol").isNotNull() & F.col("date").isNotNull())  # see bronze_rejects
     return dedup.latest_bars(known).drop("_ingest_ts").withColumn("year", F.year("date"))
 
 
@@ -121,6 +121,81 @@ def inventory_to_csv(spark: SparkSession, bronze: str, path: str) -> None:
     writers.write_csv(files.file_inventory(spark, bronze), path)
 
 
+# --- raw payloads to silver ------------------------------------------------------------------
+
+REJECT = "source string, key string, reason string"
+
+
+@dataclass(frozen=True)
+class Feed:
+    """How the raw files of one source become a silver table.
+
+    ``rows`` maps ``(key, raw)`` payloads to typed rows; of rows with equal ``keys`` the first by ``newest`` stays. The kind names
+    the payload's layout, by which unusable payloads are told.
+    """
+    kind: str
+    key: str
+    table: str
+    rows: Callable[[DataFrame], DataFrame]
+    keys: Sequence[str]
+    newest: Sequence[str] = ()
+    year_of: str | None = None
+
+
+FEEDS: Mapping[str, Feed] = {
+    "yahoo": Feed("chart", "symbol", "silver.market_ohlcv", payloads.chart_bars, ("symbol", "date"), ("epoch",), "date"),
+    "binance": Feed("klines", "symbol", "silver.crypto_ohlcv", payloads.kline_bars, ("symbol", "date"), ("epoch",), "date"),
+    "fred": Feed("series", "series", "silver.rates", payloads.series_observations, ("indicator_id", "date")),
+    "sec": Feed("filings", "symbol", "silver.filings", payloads.filings, ("symbol", "accession_number")),
+    "coinbase": Feed("spot", "symbol", "silver.spot_quotes", payloads.spot_quotes, ("base", "currency")),
+    "tencent": Feed("quotes", "symbol", "silver.quotes", payloads.quote_lines, ("symbol",)),
+}
+
+
+def load_feed(spark: SparkSession, source: str, bronze: str, root: str) -> DataFrame:
+    """Raw files of one source to its silver table; returns ``(source, key, reason)`` of the payloads that gave nothing.
+
+    Rejects are kept below ``rejects/`` as well, one directory per source, replaced by each run.
+    """
+    feed = FEEDS[source]
+    raw_files = files.read_payloads(spark, bronze)
+    rows = feed.rows(raw_files.select(F.col("source_key").alias(feed.key), "raw"))
+    latest = dedup.keep_latest(rows, list(feed.keys), [F.col(c).desc_nulls_last() for c in feed.newest])
+    target = f"{root}/{catalog.TABLES[feed.table].path}"
+    if feed.year_of:
+        writers.write_partitioned(latest.withColumn("year", F.year(feed.year_of)), target, ["year"], list(feed.keys))
+    else:
+        writers.write_parquet(latest.repartitionByRange(*feed.keys).sortWithinPartitions(*feed.keys), target)
+    kept = f"{root}/rejects/{source}"
+    writers.write_parquet(payloads.rejects(raw_files, feed.kind, source), kept)
+    return files.read_parquet(spark, kept, REJECT)
+
+
+def load_yield_curve(spark: SparkSession, bronze: str, root: str) -> DataFrame:
+    """Wide yield-curve CSV files to the silver table in the same form; returns the rows whose date is unreadable as rejects.
+
+    The columns are those of the widest header: files of earlier years have fewer maturities.
+    """
+    wide = spark.read.options(**files.CSV_DIALECT).option("header", True).option("multiLine", True).option(
+        "recursiveFileLookup", True).csv(bronze)
+    date = F.coalesce(*[F.try_to_date("Date", f) for f in ("MM/dd/yyyy", "yyyy-MM-dd")])
+    typed = wide.select(date.alias("Date"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in wide.columns if c != "Date"])
+    writers.write_parquet(typed.where(F.col("Date").isNotNull()), f"{root}/silver/yield_curve")
+    kept = f"{root}/rejects/treasury"
+    writers.write_parquet(wide.where(date.isNull()).select(
+        F.lit("treasury").alias("source"), F.col("Date").alias("key"), F.lit("no date").alias("reason")), kept)
+    return files.read_parquet(spark, kept, REJECT)
+
+
+def bronze_rejects(spark: SparkSession, bronze: str, schema: str, source: str, date: str | None = "date") -> DataFrame:
+    """``(source, key, reason)`` of bronze lines that a merge leaves out: torn lines, and dates that are none."""
+    rows = files.read_json_lines(spark, bronze, schema, name_glob="*.ndjson", keep_corrupt=True)
+    torn = F.col(files.CORRUPT).isNotNull()
+    bad = F.col(date).isNotNull() & F.col(date).try_cast("date").isNull() if date else F.lit(False)
+    return rows.where(torn | bad).select(F.lit(source).alias("source"), files.directory_key().alias("key"),
+                                         F.when(torn, "torn line").otherwise("no date").alias("reason"))
+
+
 # --- gold ---------------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -89,12 +89,35 @@ def audited_bars(spark, sf_dir):
 
 
 @registered("raw_inventory", """
-    SELECT source AS source_key, CAST(sum(strlen(text) + 1) AS BIGINT) AS raw_len FROM documents GROUP BY source""")
+    SELECT source AS source_key, count(DISTINCT text) AS files, CAST(sum(strlen(text)) AS BIGINT) AS raw_len
+    FROM (SELECT DISTINCT source, text FROM documents) GROUP BY source""")
 def raw_inventory(spark, sf_dir):
-    """Whole texts written per source; the inventory's file sizes add up to their bytes."""
+    """Every text of a source as a payload file of its own, under names that start with an underscore."""
     path = scratch_path(spark, "raw")
-    writers.write_raw(table(spark, sf_dir, "documents").select("source", F.col("text").alias("value")), path, "source")
-    return files.file_inventory(spark, path, "*.txt").groupBy("source_key").agg(F.sum("raw_len").alias("raw_len"))
+    writers.write_raw(table(spark, sf_dir, "documents").select("source", "text"), path, "source", "text")
+    files_ = files.file_inventory(spark, path, "_raw*.json")
+    return files_.groupBy("source_key").agg(F.count("*").alias("files"), F.sum("raw_len").alias("raw_len"))
+
+
+@registered("raw_payloads", "SELECT DISTINCT lang AS source_key, html AS raw FROM pages JOIN documents ON doc_id = page_id")
+def raw_payloads(spark, sf_dir):
+    """Pages of many lines, several to a key, come back as one row each; what a key held before is gone."""
+    path = scratch_path(spark, "payloads")
+    pages = table(spark, sf_dir, "pages").withColumnRenamed("page_id", "doc_id").join(
+        table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").select("lang", F.col("html").alias("value"))
+    writers.write_raw(pages.select("lang", F.concat(F.lit("old "), "value").alias("value")), path, "lang")
+    writers.write_raw(pages, path, "lang")
+    return files.read_payloads(spark, path).select("source_key", "raw")
+
+
+@registered("input_fingerprint", """
+    SELECT count(*) AS file_count, CAST(sum(strlen(text)) AS BIGINT) AS total_size, true AS has_time
+    FROM (SELECT DISTINCT source, text FROM documents)""")
+def input_fingerprint(spark, sf_dir):
+    """Fingerprint of written payloads; of the modification time only that there is one."""
+    path = scratch_path(spark, "fingerprint")
+    writers.write_raw(table(spark, sf_dir, "documents").select("source", "text"), path, "source", "text")
+    return files.fingerprint(spark, path).select("file_count", "total_size", (F.col("max_mtime") > 0).alias("has_time"))
 
 
 @registered("raw_lines", """
@@ -103,7 +126,7 @@ def raw_inventory(spark, sf_dir):
 def raw_lines(spark, sf_dir):
     path = scratch_path(spark, "lines")
     pages = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "^[a-z]+", 0).alias("key"), F.col("html").alias("value"))
-    writers.write_raw(pages, path, "key")
+    writers.write_lines(pages, path, "key")
     return (files.read_lines(spark, path).groupBy(files.directory_key(name="key").alias("source_key"))
             .agg(F.count(F.lit(1)).alias("lines")))
 
@@ -170,9 +193,3 @@ def counted_write(spark, sf_dir):
     path = scratch_path(spark, "counted")
     seen = writers.write_counted(table(spark, sf_dir, "events"), path)
     return files.read_parquet(spark, path).agg(F.lit(seen).alias("observed_rows"), F.count(F.lit(1)).alias("stored_rows"))
-
-
-@registered("input_fingerprint")
-def input_fingerprint(spark, sf_dir):
-    """Metadata of the input files; there is no SQL counterpart for modification times."""
-    return files.fingerprint(spark, sf_dir, "*.parquet")

@@ -24,6 +24,12 @@ POINT = ("indicator struct<id: string, value: string>, country struct<id: string
 OBSERVATION = ("indicator_id string, indicator_name string, country_id string, country_name string, "
                "country_iso3 string, date string, year string, period_type string, value double, unit string, "
                "obs_status string, `decimal` string, source_id string, lastupdated string")
+CRYPTO_BAR = ("symbol string, date date, epoch bigint, open double, high double, low double, close double, volume double, "
+              "quote_volume double, trades bigint")
+RATE = "indicator_id string, date date, value double"
+FILING = "symbol string, accession_number string, filing_date date, form_type string, entity_name string, url string"
+SPOT_QUOTE = "base string, currency string, amount decimal(38,18)"
+QUOTE = "symbol string, fields array<string>"
 INVENTORY = "source_key string, raw_len bigint, bronze_path string"
 TICK = "symbol string, ts bigint, price double, volume bigint, exchange string"
 TICK_TEXT = "symbol string, ts string, price string, volume string, exchange string"
@@ -64,6 +70,11 @@ TABLES: Mapping[str, Entry] = {
     "silver.ohlcv": Entry("csv", WINDOWED_BAR, "silver/ohlcv"),
     "silver.market_ohlcv": Entry("parquet", BAR + ", year int", "silver/market/ohlcv"),
     "silver.macro_observations": Entry("parquet", OBSERVATION, "silver/macro/observations"),
+    "silver.crypto_ohlcv": Entry("parquet", CRYPTO_BAR + ", year int", "silver/crypto/ohlcv"),
+    "silver.rates": Entry("parquet", RATE, "silver/rates"),
+    "silver.filings": Entry("parquet", FILING, "silver/filings"),
+    "silver.spot_quotes": Entry("parquet", SPOT_QUOTE, "silver/spot_quotes"),
+    "silver.quotes": Entry("parquet", QUOTE, "silver/quotes"),
     "silver.equity_master": Entry("parquet", EQUITY_MASTER, "silver/master/equity"),
     "gold.positions": Entry("csv", POSITION, "gold/positions"),
     "gold.yahoo_summary": Entry("parquet", SUMMARY, "gold/yahoo_summary"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tidelake.sources import raw
+
 CORRUPT = "_corrupt_record"
 Schema = StructType | str
 
@@ -72,13 +74,9 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_payloads(spark: SparkSession, path: str | list[str], name_glob: str | None = None) -> DataFrame:
-    """One row per raw file: ``(source_key, bronze_path, raw)`` with the whole text."""
-    reader = spark.read.option("recursiveFileLookup", True).option("wholetext", True)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.text(path).select(directory_key().alias("source_key"),
-                                    F.col("_metadata.file_path").alias("bronze_path"), F.col("value").alias("raw"))
+def read_payloads(spark: SparkSession, path: str | list[str], name_glob: str = "*") -> DataFrame:
+    """One row per raw file, whatever its name and its lines: ``(source_key, bronze_path, raw)`` with the whole text."""
+    return raw.read_payloads(spark, path, name_glob)
 
 
 def directory_key(path: Column | str = "_metadata.file_path", name: str | None = None) -> Column:
@@ -94,9 +92,8 @@ def file_inventory(spark: SparkSession, path: str | list[str], name_glob: str =
 
     Every payload name counts, and any ``x=`` prefix is stripped from the directory.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", name_glob).load(path).select("path", "length"))
-    return inventory(files.select(directory_key("path").alias("source_key"), F.col("length").alias("raw_len"),
+    files = raw.list_files(spark, path, name_glob)
+    return inventory(files.select(raw.key_of("path").alias("source_key"), F.col("length").alias("raw_len"),
                                   F.col("path").alias("bronze_path")))
 
 
@@ -107,8 +104,7 @@ def inventory(files: DataFrame) -> DataFrame:
 
 def fingerprint(spark: SparkSession, paths: str | list[str], name_glob: str = "*") -> DataFrame:
     """One row ``(max_mtime, total_size, file_count)`` over all input files, from metadata only."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", name_glob).load(paths).select("modificationTime", "length"))
-    return files.agg(F.coalesce(F.max(F.unix_millis("modificationTime")), F.lit(0)).alias("max_mtime"),
+    files = raw.list_files(spark, paths, name_glob)
+    return files.agg(F.coalesce(F.max("modified_ms"), F.lit(0)).alias("max_mtime"),
                      F.coalesce(F.sum("length"), F.lit(0)).alias("total_size"),
                      F.count(F.lit(1)).alias("file_count"))

@@ -212,3 +212,32 @@ def quote_lines(payloads: DataFrame) -> DataFrame:
     body = F.col("q.body")
     separator = F.when(body.contains("~"), "~").otherwise(",")
     return pairs.select("q.symbol", F.split(body, separator).alias("fields"))
+
+
+# --- accepted and rejected payloads ----------------------------------------------------
+
+def record_count(kind: str) -> Column:
+    """How many records a payload of a kind holds; NULL where its text is no such document."""
+    def size(schema: str, part) -> Column:
+        document = F.from_json("raw", schema, {"mode": "PERMISSIVE"})
+        return F.when(part(document).isNotNull(), F.size(part(document)))
+
+    readable = F.try_parse_json("raw").isNotNull()
+    counts = {
+        "chart": lambda: F.when(readable, F.coalesce(size(CHART, lambda d: F.get(d["chart"]["result"], F.lit(0))["timestamp"]), F.lit(0))),
+        "klines": lambda: F.when(readable, F.coalesce(size("array<array<string>>", lambda d: d), F.lit(0))),
+        "page": lambda: F.when(readable, F.coalesce(F.size(_records("raw", POINTS)), F.lit(0))),
+        "indicators": lambda: F.when(readable, F.coalesce(F.size(_records("raw", INDICATORS)), F.lit(0))),
+        "series": lambda: F.when(readable, F.coalesce(size(SERIES, lambda d: d["observations"]), F.lit(0))),
+        "filings": lambda: F.when(readable, F.coalesce(size(FILINGS, lambda d: d["filings"]["recent"]["accessionNumber"]), F.lit(0))),
+        "spot": lambda: F.when(readable, F.when(F.from_json("raw", SPOT)["data"]["base"].isNotNull(), 1).otherwise(0)),
+        "quotes": lambda: F.size(F.regexp_extract_all("raw", F.lit(QUOTE_LINE), F.lit(1))),
+    }
+    return counts[kind]()
+
+
+def rejects(payloads: DataFrame, kind: str, source: str, key: str = "source_key") -> DataFrame:
+    """``(source, key, reason)`` of the payloads of a kind that give no rows: unreadable ones and those without records."""
+    counted = payloads.select(F.col(key).cast("string").alias("key"), record_count(kind).alias("n")).where("coalesce(n, 0) <= 0")
+    return counted.select(F.lit(source).alias("source"), "key",
+                          F.when(F.col("n").isNull(), "unreadable").otherwise("no records").alias("reason"))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from tidelake.sources import raw
+
 RUN_RECORD = "source string, last_run string, symbols bigint, indicators bigint, pages bigint, total bigint, lastupdated string"
 
 
@@ -53,18 +56,20 @@ def _spread_by(df: DataFrame, key: str) -> DataFrame:
     return df.repartitionByRange(F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
 
 
-def write_raw(payloads: DataFrame, path: str, key: str, keep_history: bool = False) -> None:
-    """Raw text per key below ``key=<value>/``.
+def write_raw(payloads: DataFrame, path: str, key: str, text: str = "value", page: str | None = None,
+              keep_history: bool = False) -> DataFrame:
+    """Raw payloads, one file each, below ``key=<value>/``; see ``raw.write_payloads``.
 
-    A key's earlier payload is replaced, unless ``keep_history`` appends instead and
-    stamps every row with ``_ingest_ts`` inside the directory layout.
+    A key's earlier payloads are replaced, unless ``keep_history`` adds a directory with the time of the write.
     """
-    if keep_history:
-        stamped = payloads.withColumn("ingest_ts", F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss"))
-        _spread_by(stamped, key).write.mode("append").partitionBy(key, "ingest_ts").text(path)
-    else:
-        (_spread_by(payloads, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(key).text(path))
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f") if keep_history else None
+    return raw.write_payloads(payloads, path, key, text, page, stamp)
+
+
+def write_lines(lines: DataFrame, path: str, key: str) -> None:
+    """Lines of text per key; replaces the keys present in ``lines``."""
+    (_spread_by(lines, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(key).text(path))
 
 
 def write_json_by_key(df: DataFrame, path: str, key: str) -> None:
