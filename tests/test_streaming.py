@@ -38,62 +38,80 @@ def test_merge_over_two_drops(spark, tmp_path):
     assert merge(spark, tmp_path)[-1] == ("B", day("2024-05-02"), 1, 4.0)
 
 
-def test_tick_bars_update_until_complete(spark, tmp_path):
-    schema = "symbol string, ts timestamp, price double, volume bigint, n bigint"
-    moment = datetime.datetime(2024, 1, 1, 9, 0)
-    ticks = [("A", moment + datetime.timedelta(seconds=40 * i), float(i % 7), 1, i) for i in range(30)]
+TICK = "symbol string, ts timestamp, price double, volume bigint, n bigint"
 
-    def run():
-        stream = jobs.file_stream(spark, str(tmp_path / "in"), schema)
-        bars = jobs.tick_bars(stream, "5 minutes", "10 minutes", sequence_key(F.unix_micros("ts"), "n"))
-        jobs.start_upserts(bars, str(tmp_path / "log"), str(tmp_path / "state")).awaitTermination()
-        return jobs.read_upserts(spark, str(tmp_path / "log"), ["symbol", "window_start"]).orderBy("window_start").collect()
-
-    drop(spark, ticks[:10], str(tmp_path / "in"), schema)
-    run()
-    drop(spark, ticks[10:], str(tmp_path / "in"), schema)
-    bars = run()
-    expected = {}
-    for _, ts, price, _, _ in ticks:
-        expected.setdefault(ts.replace(minute=ts.minute - ts.minute % 5, second=0), []).append(price)
-    assert [(b["open"], b["high"], b["low"], b["close"], b["trades"]) for b in bars] == [
-        (p[0], max(p), min(p), p[-1], len(p)) for _, p in sorted(expected.items())]
-
-
-def test_bars_upserted_into_a_table(spark, tmp_path):
-    schema = "symbol string, ts timestamp, price double, volume bigint, n bigint"
-    moment = datetime.datetime(2024, 1, 1, 23, 50)
-    ticks = [("A", moment + datetime.timedelta(minutes=i), float(i), 2, i) for i in range(20)]
 
-    def run():
-        stream = jobs.file_stream(spark, str(tmp_path / "in"), schema)
-        bars = jobs.tick_bars(stream, "10 minutes", "1 hour", sequence_key(F.unix_micros("ts"), "n"))
-        jobs.start_bars(bars, str(tmp_path / "bars"), str(tmp_path / "stage"), str(tmp_path / "state")).awaitTermination()
-        return [(b["open"], b["close"], b["volume"]) for b in
-                spark.read.parquet(str(tmp_path / "bars")).orderBy("window_start").collect()]
+def bars(spark, tmp_path, duration):
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), TICK, files_per_batch=1)
+    jobs.start_bars(stream, str(tmp_path / "log"), str(tmp_path / "state"), duration,
+                    lambda: sequence_key(F.unix_micros("ts"), "n")).awaitTermination()
+    return jobs.read_bars(spark, str(tmp_path / "log")).orderBy("window_start").collect()
+
+
+def test_bars_of_late_ticks(spark, tmp_path):
+    """Files days out of order, in batches of one file: every bar is there, also after compaction and a later file."""
+    moment = datetime.datetime(2024, 1, 10, 9, 0)
+    ticks = [("A", moment - datetime.timedelta(days=i % 6, seconds=40 * i), float(i % 7), 1, i) for i in range(60)]
+
+    def expected(some):
+        out = {}
+        for _, ts, price, _, n in some:
+            out.setdefault(ts.replace(minute=ts.minute - ts.minute % 5, second=0), []).append((ts, n, price))
+        return [(min(b)[2], max(p for _, _, p in b), min(p for _, _, p in b), max(b)[2], len(b)) for _, b in sorted(out.items())]
+
+    def found():
+        return [(b["open"], b["high"], b["low"], b["close"], b["trades"]) for b in bars(spark, tmp_path, "5 minutes")]
 
-    drop(spark, ticks[:5], str(tmp_path / "in"), schema)
-    assert run() == [(0.0, 4.0, 10)]
-    drop(spark, ticks[5:], str(tmp_path / "in"), schema)
-    assert run() == [(0.0, 9.0, 20), (10.0, 19.0, 20)]
-    assert sorted(p.name for p in (tmp_path / "bars").iterdir() if p.is_dir()) == ["day=2024-01-01", "day=2024-01-02"]
+    for k in range(5):
+        drop(spark, ticks[k * 10:k * 10 + 10], str(tmp_path / "in"), TICK)
+    assert found() == expected(ticks[:50])
+    jobs.compact_log(spark, str(tmp_path / "log"), jobs.merged_bars)
+    assert [p.name for p in (tmp_path / "log/new").iterdir() if p.is_dir()] == []
+    drop(spark, ticks[50:], str(tmp_path / "in"), TICK)
+    assert found() == expected(ticks)
 
 
 def test_duplicates_across_drops(spark, tmp_path):
     schema = "symbol string, ts timestamp, price double"
     moment = datetime.datetime(2024, 1, 1)
-    rows = [("A", moment, 1.0), ("A", moment + datetime.timedelta(minutes=1), 2.0)]
+    rows = [("A", moment, 1.0), ("A", moment + datetime.timedelta(minutes=1), 2.0), (None, moment, 5.0)]
 
     def run():
-        stream = jobs.first_of_duplicates(jobs.file_stream(spark, str(tmp_path / "in"), schema), ["symbol", "ts"], "ts", "1 hour")
-        (stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-         .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination())
-        return spark.read.parquet(str(tmp_path / "out")).count()
+        stream = jobs.file_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1)
+        jobs.start_distinct(stream, str(tmp_path / "log"), str(tmp_path / "state"), ["symbol", "ts"], F.to_date("ts")).awaitTermination()
+        return jobs.read_distinct(spark, str(tmp_path / "log")).count()
 
     drop(spark, rows, str(tmp_path / "in"), schema)
-    assert run() == 2
-    drop(spark, rows + [("B", moment, 3.0)], str(tmp_path / "in"), schema)
     assert run() == 3
+    drop(spark, rows + [("B", moment, 3.0), ("B", moment - datetime.timedelta(days=900), 3.0)], str(tmp_path / "in"), schema)
+    assert run() == 5
+
+
+def test_merge_of_thousands_of_partitions(spark, tmp_path):
+    """A batch that touches 5000 partitions, and stages that do not pile up."""
+    schema = "k int, v int, part int"
+    newest = lambda: [F.col("v").desc()]
+
+    def run(rows):
+        rows.coalesce(2).write.mode("append").parquet(str(tmp_path / "in"))
+        jobs.start_merge(jobs.file_stream(spark, str(tmp_path / "in"), schema), str(tmp_path / "t"), str(tmp_path / "stage"),
+                         str(tmp_path / "state"), schema, ["k"], newest, ["part"]).awaitTermination()
+
+    run(spark.range(5000).selectExpr("CAST(id AS int) AS k", "1 AS v", "CAST(id AS int) AS part"))
+    run(spark.range(0, 5000, 50).selectExpr("CAST(id AS int) AS k", "2 AS v", "CAST(id AS int) AS part"))
+    sums = spark.read.schema(schema).parquet(str(tmp_path / "t")).agg(F.count("*"), F.sum("v")).first()
+    assert tuple(sums) == (5000, 5100)
+    assert [p.name for p in (tmp_path / "stage").iterdir()] == ["batch_id=1"]
+
+
+def test_file_and_directory_tables(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "d.parquet"))
+    [part] = (tmp_path / "d.parquet").glob("*.parquet")
+    for path in (tmp_path / "d.parquet", part):
+        name = f"seen{len(str(path))}"
+        jobs.file_stream(spark, str(path), "id bigint").writeStream.format("memory").queryName(name).trigger(
+            availableNow=True).start().awaitTermination()
+        assert spark.table(name).count() == 5
 
 
 def test_replayed_batch_republishes_its_stage(spark, tmp_path):

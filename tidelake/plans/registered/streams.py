@@ -1,4 +1,4 @@
-"""Streaming jobs run to completion over the test tables."""
+"""Streaming jobs run to completion over the test tables, a file to a batch and the newest file first."""
 
 from __future__ import annotations
 
@@ -11,9 +11,14 @@ from tidelake.plans.standins import table
 from tidelake.session import scratch_path
 from tidelake.streaming import jobs
 
+FILES = 6
 
-def stream_of(spark, sf_dir, name):
-    return jobs.file_stream(spark, sf_dir, table(spark, sf_dir, name).schema, name_glob=f"{name}.parquet")
+
+def stream_of(spark, sf_dir, name, time):
+    """The table as a directory of files that run backwards in time, streamed file by file."""
+    path, rows = scratch_path(spark, f"in-{name}"), table(spark, sf_dir, name)
+    rows.repartitionByRange(FILES, F.col(time).desc()).write.parquet(path)
+    return jobs.file_stream(spark, path, rows.schema, files_per_batch=1)
 
 
 @registered("stream_tick_bars", """
@@ -22,36 +27,35 @@ def stream_of(spark, sf_dir, name):
         CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS volume, count(*) AS trades
     FROM events GROUP BY user_id, CAST(ts AS DATE)""")
 def stream_tick_bars(spark, sf_dir):
-    """Daily bars in update mode; equal to the batch bars once the input is exhausted."""
-    events = stream_of(spark, sf_dir, "events").select(
+    """Daily bars of ticks that arrive days late; the log is compacted halfway through its reads."""
+    events = stream_of(spark, sf_dir, "events", "ts").select(
         F.col("user_id").alias("symbol"), utc_instant("ts").alias("ts"), F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("bigint").alias("volume"), "event_id")
-    bars = jobs.tick_bars(events, "1 day", "1 hour", sequence_key(F.unix_micros("ts"), "event_id"))
     log = scratch_path(spark, "bars-log")
-    jobs.start_upserts(bars, log, scratch_path(spark, "bars-state")).awaitTermination()
-    rows = jobs.read_upserts(spark, log, ["symbol", "window_start"])
+    jobs.start_bars(events, log, scratch_path(spark, "bars-state"), "1 day",
+                    lambda: sequence_key(F.unix_micros("ts"), "event_id")).awaitTermination()
+    jobs.compact_log(spark, log, jobs.merged_bars)
+    rows = jobs.read_bars(spark, log)
     return rows.withColumn("day", epoch_date(F.unix_seconds("window_start"))).drop("window_start")
 
 
 @registered("stream_deduplicated", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_deduplicated(spark, sf_dir):
-    """The table streamed twice over loses its second copy."""
-    def once():
-        return stream_of(spark, sf_dir, "events").withColumn("ts", utc_instant("ts"))
-
-    single = jobs.first_of_duplicates(once().unionByName(once()), ["event_id", "ts"], "ts", "40 days")
+    """The table streamed twice over loses its second copy and nothing else."""
+    path, rows = scratch_path(spark, "in-twice"), table(spark, sf_dir, "events").withColumn("ts", utc_instant("ts"))
+    for order in (F.col("ts").desc(), F.xxhash64("event_id")):
+        rows.repartitionByRange(FILES, order).write.mode("append").parquet(path)
     log = scratch_path(spark, "dedup-log")
-    query = (single.writeStream.format("parquet").option("path", log)
-             .option("checkpointLocation", scratch_path(spark, "dedup-state")).trigger(availableNow=True).start())
-    query.awaitTermination()
-    return spark.read.parquet(log).select("event_id", "user_id", "event_type", "value")
+    jobs.start_distinct(jobs.file_stream(spark, path, rows.schema, files_per_batch=1), log, scratch_path(spark, "dedup-state"),
+                        ["event_id", "ts"], epoch_date(F.unix_seconds("ts"))).awaitTermination()
+    return jobs.read_distinct(spark, log).select("event_id", "user_id", "event_type", "value")
 
 
 @registered("stream_merged_lines", LATEST_LINES)
 def stream_merged_lines(spark, sf_dir):
     """Lines merged into a table partitioned by order status, newest version per line."""
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-    lines = stream_of(spark, sf_dir, "lineitem").select(
+    lines = stream_of(spark, sf_dir, "lineitem", "l_shipdate").select(
         *columns, F.to_date("l_shipdate").alias("l_shipdate"), (F.col("l_linenumber") % 4).alias("part"))
     newest = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
     path = scratch_path(spark, "merged")

@@ -1,4 +1,8 @@
-"""Incremental jobs: file streams with explicit schemas, run to completion or kept running."""
+"""Incremental jobs: file streams with explicit schemas, run to completion or kept running.
+
+No job drops late rows. Bars and duplicates keep no state in the engine: every micro-batch writes a directory of its own to a
+log, which readers resolve, so rows may arrive in any order and however late, and a replayed batch overwrites its directory.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +10,9 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidelake.functions import epoch_date
-from tidelake.operators import aggregates
 from tidelake.operators.dedup import keep_latest
 from tidelake.sources.writers import write_partitioned
 
@@ -19,6 +21,10 @@ BATCH = "batch_id"
 
 def file_stream(spark: SparkSession, path: str, schema: StructType | str, source: str = "parquet",
                 name_glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """Stream of the files of a directory, such as a table's part files, or of one file."""
+    target = _hadoop(spark, path)
+    if name_glob is None and _system(spark, path).isFile(target):
+        path, name_glob = target.getParent().toString(), target.getName()
     reader = spark.readStream.format(source).schema(schema)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
@@ -27,16 +33,22 @@ def file_stream(spark: SparkSession, path: str, schema: StructType | str, source
     return reader.load(path)
 
 
+def _started(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
+    """Run to completion, or with an ``interval`` keep running."""
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
 def start_merge(stream: DataFrame, table_path: str, stage_path: str, checkpoint: str, schema: StructType | str,
                 keys: Sequence[str], newest_first: Callable[[], Sequence[Column]],
-                partition_by: Sequence[str] = ("year",), output_mode: str = "append") -> StreamingQuery:
+                partition_by: Sequence[str] = ("year",), interval: str | None = None) -> StreamingQuery:
     """Merge every micro-batch into a partitioned table, keeping the newest version per key.
 
-    The partition columns must follow from the key, as the year follows from a date. Only
-    partitions that the batch touches are read and replaced; their values are collected,
-    one per directory. The merged partitions are staged first. A replayed batch republishes
-    a finished stage instead of merging again, so a failure while partitions are being
-    replaced loses nothing. Stages of earlier batches are not used again and may be deleted.
+    The partition columns must follow from the key, as the year follows from a date; where late rows are common, take finer ones,
+    such as the month, since a touched partition is rewritten. Only touched partitions are read: the scan is pruned by a
+    join with the batch's partition values. The merged partitions are staged first. A replayed batch republishes a finished
+    stage instead of merging again, so a failure while partitions are being replaced loses nothing. A batch removes the
+    stages before its own.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -44,67 +56,143 @@ def start_merge(stream: DataFrame, table_path: str, stage_path: str, checkpoint:
         if not _exists(spark, f"{stage}/_SUCCESS"):
             rows = batch
             if _exists(spark, table_path):
-                current = spark.read.schema(schema).parquet(table_path).where(_touched(batch, partition_by))
+                current = _touched(spark.read.schema(schema).parquet(table_path), batch, partition_by)
                 rows = current.unionByName(batch.select(*current.columns))
             merged = keep_latest(rows, keys, newest_first())
             merged.write.mode("overwrite").option("compression", "zstd").parquet(stage)
         write_partitioned(spark.read.parquet(stage), table_path, partition_by, keys)
+        _remove_batches(spark, stage_path, batch_id - 1)
+
+    return _started(stream.writeStream.foreachBatch(merge), checkpoint, interval)
 
-    return (stream.writeStream.outputMode(output_mode).foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
 
+def _touched(current: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of the partitions that a batch touches, whatever their number; a null value is a partition too."""
+    values = batch.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_by]).distinct()
+    equal = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_touched_{c}") for c in partition_by])
+    found = current.join(F.broadcast(values), equal, "left_semi")  # one row per directory
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in partition_by])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by])
+    return found.unionByName(current.where(missing).join(F.broadcast(values), same, "left_semi"))
 
-def _touched(batch: DataFrame, partition_by: Sequence[str]) -> Column:
-    """Literal filter on the partitions of a batch, so that the scan prunes directories."""
-    values = batch.select(*partition_by).distinct().collect()
-    tests = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in values]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+def _hadoop(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _system(spark: SparkSession, path: str):
+    return _hadoop(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    return _system(spark, path).exists(_hadoop(spark, path))
 
 
-def tick_bars(ticks: DataFrame, duration: str, late: str, sequence: Column) -> DataFrame:
-    """Tumbling bars from ticks ``(symbol, ts, price, volume)`` with their tick count."""
-    keys = [F.window("ts", duration).alias("window"), "symbol"]
-    bars = aggregates.bars(ticks.withWatermark("ts", late), keys, "price", F.sum("volume"), sequence,
-                           trades=F.count(F.lit(1)))
-    return bars.select("symbol", F.col("window.start").alias("window_start"), "open", "high", "low", "close",
-                       "volume", "trades")
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete batches of a log or stage."""
+    if not _exists(spark, path):
+        return []
+    names = [f.getPath().getName() for f in _system(spark, path).listStatus(_hadoop(spark, path))]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}=") and _exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
-def start_bars(bars: DataFrame, table_path: str, stage_path: str, checkpoint: str) -> StreamingQuery:
-    """Upsert streamed bars into a table partitioned by ``day``.
+def _remove_batches(spark: SparkSession, path: str, last: int) -> None:
+    for batch in _batches(spark, path):
+        if batch <= last:
+            _system(spark, path).delete(_hadoop(spark, f"{path}/{BATCH}={batch}"), True)
 
-    Update mode emits a bar again whenever ticks reach it; the emission with the most
-    ticks is the newest.
-    """
-    rows = bars.withColumn("day", epoch_date(F.unix_seconds("window_start")))
-    return start_merge(rows, table_path, stage_path, checkpoint, rows.schema, ["symbol", "window_start"],
-                       lambda: [F.col("trades").desc()], ["day"], "update")
 
+# --- logs ---------------------------------------------------------------------------
 
-def start_upserts(rows: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed rows of every micro-batch to a log directory of that batch.
+def start_log(rows: DataFrame, log_path: str, checkpoint: str, reduce_batch: Callable[[DataFrame], DataFrame] = lambda b: b,
+              interval: str | None = None) -> StreamingQuery:
+    """Write what ``reduce_batch`` makes of every micro-batch to a directory of that batch; a replay overwrites it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        reduce_batch(batch).write.mode("overwrite").option("compression", "zstd").parquet(f"{log_path}/new/{BATCH}={batch_id}")
+
+    return _started(rows.writeStream.foreachBatch(write), checkpoint, interval)
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """Rows of the newest compacted part and of all batches after it, with their ``batch_id``."""
+    base = _batches(spark, f"{log_path}/compact")
+    newest = base[-1] if base else -1
+    paths = [f"{log_path}/new/{BATCH}={b}" for b in _batches(spark, f"{log_path}/new") if b > newest]
+    parts = [spark.read.option("basePath", f"{log_path}/new").parquet(*paths)] if paths else []
+    if base:
+        parts.append(spark.read.parquet(f"{log_path}/compact/{BATCH}={newest}").withColumn(BATCH, F.lit(newest)))
+    return reduce(DataFrame.unionByName, parts)
 
-    Update mode emits a window again whenever it changes, so nothing waits for the
-    watermark. A replayed batch overwrites its own directory.
+
+def compact_log(spark: SparkSession, log_path: str, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace all batches so far by one part, made by ``merge``, so that reads do not slow down with the log's age.
+
+    The part counts once it is complete; only then what it replaces is removed. Run it between batches, not beside them.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log_path}/{BATCH}={batch_id}")
+    batches = _batches(spark, f"{log_path}/new")
+    older = _batches(spark, f"{log_path}/compact")
+    if not batches or older and batches[-1] <= older[-1]:
+        return
+    merge(read_log(spark, log_path).drop(BATCH)).write.mode("overwrite").option("compression", "zstd").parquet(
+        f"{log_path}/compact/{BATCH}={batches[-1]}")
+    _remove_batches(spark, f"{log_path}/compact", batches[-1] - 1)
+    _remove_batches(spark, f"{log_path}/new", batches[-1])
 
-    return (rows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
 
+# --- bars ---------------------------------------------------------------------------
+
+def partial_bars(ticks: DataFrame, duration: str, sequence: Column) -> DataFrame:
+    """Tumbling bars of some ticks ``(symbol, ts, price, volume)``, in a form that can be merged with bars of other ticks."""
+    tick = F.struct(sequence.alias("sequence"), F.col("price").alias("price"))
+    return ticks.groupBy("symbol", F.window("ts", duration).start.alias("window_start")).agg(
+        F.min(tick).alias("first"), F.max(tick).alias("last"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.sum("volume").alias("volume"), F.count(F.lit(1)).alias("trades"))
+
+
+def merged_bars(partial: DataFrame) -> DataFrame:
+    return partial.groupBy("symbol", "window_start").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.sum("volume").alias("volume"), F.sum("trades").alias("trades"))
+
+
+def start_bars(ticks: DataFrame, log_path: str, checkpoint: str, duration: str, sequence: Callable[[], Column],
+               interval: str | None = None) -> StreamingQuery:
+    """Bars of a tick stream as partial bars per micro-batch. Ticks may come in any order and however late."""
+    return start_log(ticks, log_path, checkpoint, lambda batch: partial_bars(batch, duration, sequence()), interval)
+
+
+def read_bars(spark: SparkSession, log_path: str) -> DataFrame:
+    """Current bars: equal to the batch bars over all ticks so far."""
+    return merged_bars(read_log(spark, log_path)).select(
+        "symbol", "window_start", F.col("first.price").alias("open"), "high", "low", F.col("last.price").alias("close"),
+        "volume", "trades")
+
+
+# --- duplicates ----------------------------------------------------------------------
+
+def start_distinct(stream: DataFrame, log_path: str, checkpoint: str, keys: Sequence[str], day: Column,
+                   interval: str | None = None) -> StreamingQuery:
+    """Keep the first row of every key, however far apart repeats arrive.
+
+    ``day`` must follow from the keys. A batch is compared with the log's rows of its own days only; the log is
+    partitioned by them. A replayed batch sees the same earlier batches and writes the same rows again.
+    """
+    named = ["_day", *keys]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = keep_latest(batch.withColumn("_day", day), named, [])
+        earlier = [b for b in _batches(spark, f"{log_path}/new") if b < batch_id]
+        if earlier:
+            known = spark.read.schema(rows.schema).option("basePath", f"{log_path}/new").parquet(
+                *[f"{log_path}/new/{BATCH}={b}" for b in earlier]).select(*named)
+            known = _touched(known, rows, ["_day"]).select(*[F.col(c).alias(f"_known_{c}") for c in named])
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in named])
+            rows = rows.join(known, same, "left_anti")
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("_day").parquet(f"{log_path}/new/{BATCH}={batch_id}")
 
-def read_upserts(spark: SparkSession, log_path: str, keys: Sequence[str]) -> DataFrame:
-    """Current rows of an upsert log: per key, those of the latest batch."""
-    rows = spark.read.parquet(log_path)
-    return keep_latest(rows, keys, [F.col(BATCH).desc()], payload_tie_break=False).drop(BATCH)
+    return _started(stream.writeStream.foreachBatch(write), checkpoint, interval)
 
 
-def first_of_duplicates(stream: DataFrame, keys: Sequence[str], event_time: str, late: str) -> DataFrame:
-    """Drop repeated keys that arrive within the watermark delay of each other."""
-    return stream.withWatermark(event_time, late).dropDuplicatesWithinWatermark(list(keys))
+def read_distinct(spark: SparkSession, log_path: str) -> DataFrame:
+    return read_log(spark, log_path).drop(BATCH, "_day")
