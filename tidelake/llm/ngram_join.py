@@ -10,9 +10,9 @@ lacks at most ``missing(n)`` of them in its partner. Hence
 
 Of two linked sets, all that the shorter prefix (in the global order) shares lies in the longer one, so the argument holds whichever
 of them has it. Rare tokens occur in fewer than a fixed number of texts, which bounds their lists. Pairs of frequent tokens may be as frequent
-as a family of near copies is large; texts that share one form a family, which is compared in blocks, within
-which only links that join two parts are kept. Candidates are thinned by size and by a parity bitmap, both exact bounds,
-and then verified on the full sets.
+as a family of near copies is large. Candidate pairs of rare tokens are thinned by size and by a parity bitmap, both exact
+bounds; what they and shared pairs of frequent tokens connect is a family. Its members are compared in blocks: bitmaps first, then
+full sets, unless earlier links of the block connect the two already.
 """
 
 from __future__ import annotations
@@ -29,13 +29,14 @@ from tidelake.llm.common import connected, spread_join, tasks_for
 from tidelake.llm.textbytes import Powers, byte_values, mixed, segment_hashes, shingle_hashes, slices, whole_hash, words
 from tidelake.session import checkpointed
 
-BITMAP_BITS = 1024
+LEAST_BITS = 1024
 #: Size codes grow by 2 % a step.
 STEP = 1.02
 #: At most so many frequent tokens exist, which bounds what is broadcast (4 bytes each).
 MOST_FREQUENT = 1 << 20
 LEAST_FREQUENT = 64
-MASK = 1 << 20
+#: Bits of the mask by which the documents of candidates are found; more documents than bits only cost time.
+MASK, MASK_PARTS = 1 << 23, 64
 BLOCK_TOKENS = 1 << 20
 
 
@@ -67,10 +68,8 @@ class Shingler:
     def __init__(self, width: int):
         self.width, self.powers, self.values = width, Powers(), byte_values(True)
 
-    def rows(self, texts: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, bytes | None, np.ndarray]]:
+    def rows(self, texts: pa.Array) -> Iterator[tuple[int, bytes | None, np.ndarray]]:
         for first, _, data, offsets in slices(texts):
-            if wanted is not None and not wanted[first:first + len(offsets) - 1].any():
-                continue
             starts, ends, at = words(data, offsets)
             hashes = segment_hashes(data, starts, ends, self.values, self.powers) if len(starts) else np.empty(0, np.uint64)
             shingles = shingle_hashes(hashes, self.width)
@@ -88,11 +87,28 @@ def short_key(key: bytes) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens of each bit; bits in which two bitmaps differ never outnumber tokens in which the sets do."""
-    bits = np.bincount((tokens & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS) & 1
+    """Parity of the tokens of each bit; bits in which two bitmaps differ never outnumber tokens in which the sets do.
+
+    A set has at least half as many bits as tokens, a power of two: with fewer, those of two unrelated sets would not
+    differ enough to tell.
+    """
+    width = max(LEAST_BITS, 1 << max(0, len(tokens) // 2 - 1).bit_length())
+    bits = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap as one of fewer words: parities of bits that fall together add up."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
+def differences(a: bytes, b: bytes) -> int:
+    """Bits in which two bitmaps differ, at the width of the narrower one."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    words = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(dtype=np.int64))
+
+
 def size_code(n: int) -> int:
     return int(np.log(n) / np.log(STEP))
 
@@ -177,11 +193,11 @@ def frequent_tokens(docs: DataFrame, width: int, total: int) -> tuple[np.ndarray
                 if sum(len(t) for t, _ in waiting) > 4_000_000:
                     fold()
         fold()
-        yield pa.RecordBatch.from_arrays([pa.array(tokens[counts >= limit].astype(np.int64))], names=["token"])
+        yield pa.RecordBatch.from_arrays([pa.array([tokens[counts >= limit].astype("<u4").tobytes()], pa.binary())], names=["tokens"])
 
     counted = _own(docs).mapInArrow(count, "part int, steps binary, counts binary")
-    found = counted.groupBy("part").applyInArrow(add, "token long").toPandas()["token"].to_numpy()
-    return np.sort(found.astype(np.uint32)), limit
+    found = counted.groupBy("part").applyInArrow(add, "tokens binary").collect()
+    return np.sort(np.frombuffer(b"".join(r["tokens"] for r in found), "<u4")), limit
 
 
 def signatures(own: np.ndarray, rare: np.ndarray, bound: Bound) -> list[tuple[int, np.ndarray]]:
@@ -287,10 +303,8 @@ def close(pairs: DataFrame, info: DataFrame, bound: Bound) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITMAP_BITS // 64)
-                    for c in ("ba", "bb"))
-            fits = possible(np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64), batch.column("na").to_numpy(),
-                            batch.column("nb").to_numpy(), bound)
+            differ = [differences(a.as_py(), b.as_py()) for a, b in zip(batch.column("ba"), batch.column("bb"), strict=True)]
+            fits = possible(np.array(differ, np.int64), batch.column("na").to_numpy(), batch.column("nb").to_numpy(), bound)
             yield batch.select(["ka", "kb"]).filter(pa.array(fits))
 
     return both.select("ka", "kb", "na", "nb", "ba", "bb").mapInArrow(run, "ka binary, kb binary")
@@ -302,69 +316,61 @@ def possible(differ: np.ndarray, na: np.ndarray, nb: np.ndarray, bound: Bound) -
 
 
 def token_sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
-    """(key, doc_id, tokens) of rows whose short key is wanted, and of a few others.
+    """(key, doc_id, tokens) of the rows whose doc_id is wanted (column least), and of a few others.
 
-    What is wanted reaches the tasks as a mask of fixed size over a residue of the short keys; joins on the full key follow.
+    What is wanted reaches the tasks as a mask of fixed size over a residue of the ids; a join on key and id follows.
     """
-    residues = wanted.select(F.pmod("short", F.lit(MASK)).cast("int").alias("r")).distinct().toPandas()["r"].to_numpy()
-    mask = np.zeros(MASK, bool)
-    mask[residues.astype(np.int64)] = True
+    def mark(key: tuple, rows: pa.Table) -> pa.Table:
+        part = np.zeros(MASK // MASK_PARTS, bool)
+        part[rows["r"].to_numpy() // MASK_PARTS] = True
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(part).tobytes()], pa.binary())})
+
+    residues = wanted.select(F.pmod(F.coalesce("least", F.lit(-1)), F.lit(MASK)).cast("int").alias("r")).distinct()
+    parts = residues.groupBy(F.pmod("r", F.lit(MASK_PARTS)).alias("part")).applyInArrow(mark, "part int, bits binary").collect()
+    mask = np.zeros((MASK // MASK_PARTS, MASK_PARTS), bool)
+    for part, bits in parts:
+        mask[:, part] = np.unpackbits(np.frombuffer(bits, np.uint8))
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(mask))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, open_, seen = Shingler(width), np.unpackbits(shared.value).astype(bool), set()
+        shingler, open_ = Shingler(width), np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            found = []
-            for k, key, own in shingler.rows(batch.column("text")):
-                if key is not None and key not in seen and open_[short_key(key) % MASK]:
-                    seen.add(key)
-                    found.append((key, own.astype("<u8").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())],
-                                             names=["key", "tokens"])
+            ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(open_[np.mod(ids, MASK)]))
+            found = [(key, own.astype("<u8").tobytes()) for _, key, own in shingler.rows(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), batch.column("doc_id"),
+                                              pa.array([x[1] for x in found], pa.binary())], names=["key", "doc_id", "tokens"])
 
-    return _own(docs).mapInArrow(run, "key binary, tokens binary")
+    return _own(docs).mapInArrow(run, "key binary, doc_id long, tokens binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
-    """Links (a, b) among candidate pairs, on the full sets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                a, b = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
-                keep.append(bound.linked(len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))))
-            yield pa.RecordBatch.from_arrays([batch.column("ka").filter(pa.array(keep, pa.bool_())),
-                                              batch.column("kb").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
-
-    joined = pairs.join(sets.select(F.col("key").alias("ka"), F.col("tokens").alias("ta")), "ka").join(
-        sets.select(F.col("key").alias("kb"), F.col("tokens").alias("tb")), "kb")
-    return joined.select("ka", "kb", "ta", "tb").mapInArrow(run, "a binary, b binary")
-
-
-def families(postings: DataFrame) -> DataFrame:
-    """(short, root) of texts joined by shared pairs of frequent tokens; each signature is a star around its least text."""
+def stars(postings: DataFrame, info: DataFrame) -> DataFrame:
+    """Edges (ka, kb) between texts that share a pair of frequent tokens: each pair's least text with all others."""
     least = postings.groupBy("a").agg(F.min("b").alias("hub"), F.max("b").alias("top")).where("hub < top").select("a", "hub")
-    edges = postings.join(least, "a").where("b > hub").select(F.col("hub").alias("a"), "b").distinct()
-    return connected(edges).select(F.col("node").alias("short"), "root")
+    edges = postings.join(least, "a").where("b > hub").select("hub", "b").distinct()
+    side = lambda p: info.select(F.col("short").alias(p), F.col("key").alias(f"k{p}"))
+    return edges.withColumnRenamed("hub", "a").join(side("a"), "a").join(side("b"), "b").select("ka", "kb")
 
 
 def family_links(members: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
-    """Links within families (key, n, bits, root), enough of them to connect what all links connect.
+    """Links within families (root, key, least, n, bits), enough of them to connect what all links connect.
 
-    A family is cut by hash into chunks of about a million tokens; every two chunks meet in one block.
+    A family is cut by hash into chunks of about a million tokens; every two chunks meet in one block. The set of a member of
+    a family of one chunk thus moves once, however many candidate pairs it is in.
     """
     size = members.groupBy("root").agg(F.sum("n").alias("tokens")).select(
         F.col("root").alias("r"), F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int").alias("chunks"))
     cut = members.join(size, F.col("root") == F.col("r")).withColumn("c", F.expr("pmod(xxhash64(key), chunks)").cast("int"))
     blocks = cut.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "root", F.least("c", "j").alias("i"), F.greatest("c", "j").alias("k"), (F.col("c") > F.col("j")).alias("second"),
-        "key", "n", "bits")
-    joined = blocks.join(sets, "key")
+        F.col("key").alias("of"), "least", "n", "bits")
+    joined = blocks.join(sets, (F.col("of") == F.col("key")) & F.col("least").eqNullSafe(F.col("doc_id"))).drop("of", "least", "doc_id")
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         keys, first = rows["key"].to_pylist(), np.unique(np.array(rows["key"].to_pylist(), object), return_index=True)[1]
         sizes = rows["n"].to_numpy()
-        bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(-1, BITMAP_BITS // 64)
+        whole = rows["bits"].to_pylist()
+        bits = np.stack([folded(np.frombuffer(x, np.uint64), LEAST_BITS // 64) for x in whole])
         tokens, parent = rows["tokens"], list(range(len(keys)))
         second, split = rows["second"].to_numpy(), key[1].as_py() != key[2].as_py()
         sets_: dict[int, np.ndarray] = {}
@@ -389,7 +395,9 @@ def family_links(members: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame
             fits = possible(differ, sizes[others], sizes[a], bound)
             for b in others[fits][np.argsort(differ[fits], kind="stable")].tolist():
                 x, y = root(a), root(b)
-                if x != y and bound.linked(sizes[a], sizes[b], len(np.intersect1d(of(a), of(b), assume_unique=True))):
+                if x == y or not possible(differences(whole[a], whole[b]), sizes[a], sizes[b], bound):
+                    continue
+                if bound.linked(sizes[a], sizes[b], len(np.intersect1d(of(a), of(b), assume_unique=True))):
                     parent[max(x, y)] = min(x, y)
                     links.append((keys[a], keys[b]))
         return pa.table({"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())})
@@ -416,13 +424,11 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     total = one.agg(F.sum("n")).first()[0] or 0
     frequent, _ = frequent_tokens(docs, width, total)
     found = candidates(docs, width, bound, frequent, total)
-    pairs = checkpointed(close(found.where("kind = 0").select("a", "b").distinct(), one, bound))
-    in_family = families(found.where("kind = 1").select("a", "b"))
-    members = checkpointed(in_family.join(one.select("short", "key", "n", "bits"), "short").select("root", "key", "n", "bits"))
-    wanted = pairs.select(F.col("ka").alias("key")).union(pairs.select(F.col("kb"))).union(members.select("key")).join(
-        one.select("key", "short"), "key").select("short")
-    sets = token_sets(docs, width, wanted)
-    links = verified(pairs, sets, bound).union(family_links(members, sets, bound)).distinct()
+    pairs = close(found.where("kind = 0").select("a", "b").distinct(), one, bound)
+    edges = pairs.union(stars(found.where("kind = 1").select("a", "b"), one)).select(F.col("ka").alias("a"), F.col("kb").alias("b"))
+    members = checkpointed(connected(edges).join(one.select(F.col("key").alias("node"), "least", "n", "bits"), "node").select(
+        "root", F.col("node").alias("key"), "least", "n", "bits"))
+    links = family_links(members, token_sets(docs, width, members.select("least")), bound).distinct()
     roots = connected(links)
     named = roots.join(one.select(F.col("key").alias("node"), "least"), "node")
     component = named.groupBy("root").agg(F.min("least").alias("component"))
