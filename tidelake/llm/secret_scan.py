@@ -12,6 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidelake.llm.common import spread_join
+from tidelake.session import checkpointed
+
 SPAN = "array<struct<start: int, rank: int, kind: string, end: int>>"
 
 
@@ -115,10 +118,10 @@ def scan(versions: DataFrame, path: str = "path", text: str = "text", ledger: Da
 def findings(paths: DataFrame, ledger: DataFrame) -> DataFrame:
     """Spans of every path: all paths, with an empty list where the blob holds nothing.
 
-    Only blobs with spans take part in the join, so a blob of many paths without secrets costs nothing more.
+    A blob that a third of all paths hold meets its spans by broadcast, see ``spread_join``.
     """
-    held = ledger.where(F.size("spans") > 0).select(F.col("blob").alias("found"), "spans")
-    joined = paths.join(held, F.col("blob") == F.col("found"), "left")
+    held = checkpointed(ledger.where(F.size("spans") > 0).select(F.col("blob").alias("found"), "spans"))
+    joined = spread_join(checkpointed(paths), held, "blob", "found")
     return joined.select("path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
 
