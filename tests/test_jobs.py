@@ -151,6 +151,19 @@ def test_command_line(spark, tmp_path, capsys):
     main(["--root", str(tmp_path), "query", "SELECT symbol, count(*) AS bars FROM silver_market_ohlcv GROUP BY symbol"])
     printed = capsys.readouterr().out
     assert "market/ohlcv: merged" in printed and "macro/observations: unchanged" in printed and "MSFT" in printed
+    main(["--root", str(tmp_path), "query", "SELECT id FROM range(250)"])
+    printed = capsys.readouterr().out.splitlines()
+    assert printed[-1] == "(250 rows)" and len(printed) == 252
+    put(tmp_path, "bronze/fred/series=DGS10/_raw.json", '{"observations":[{"date":"2024-01-02","value":"4.5"},\n{"date":"2024-01-03","value":"."}]}')
+    put(tmp_path, "bronze/fred/series=BAD/_raw.json", '{"observations":')
+    for command in ("load", "gold", "warehouse", "catalog"):
+        main(["--root", str(tmp_path), command])
+    printed = capsys.readouterr().out
+    assert "fred: loaded, 1 payloads rejected" in printed and "binance: no raw files" in printed
+    assert "fred_real_rates: written" in printed and "eia_oil_prices: skipped" in printed and "views published" in printed
+    assert spark.sql("SELECT count(*) AS n FROM market.ohlcv").first()["n"] == 3
+    for layer in ("gold", "silver", "market", "macro", "ref", "master"):
+        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
     main(["--root", str(tmp_path), "tables"])
     assert "silver.market_ohlcv" in capsys.readouterr().out
 

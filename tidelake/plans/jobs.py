@@ -21,9 +21,8 @@ STATE = "unit string, max_mtime bigint, total_size bigint, file_count bigint, do
 
 def is_unchanged(spark: SparkSession, state_path: str, unit: str, current: DataFrame) -> bool:
     """Whether the newest remembered fingerprint of a unit equals the current one."""
-    try:
-        remembered = spark.read.schema(STATE).json(state_path)
-    except PySparkException:
+    remembered = catalog.existing(lambda: spark.read.schema(STATE).json(state_path))
+    if remembered is None:
         return False
     newest = (remembered.where(F.col("unit") == unit)
               .agg(F.max_by(F.struct("max_mtime", "total_size", "file_count"), "done_at").alias("f")).select("f.*"))
@@ -230,11 +229,8 @@ def build_gold(spark: SparkSession, outputs: Sequence[Output], path: str) -> Dat
 
 def _first_usable(output: Output) -> DataFrame | None:
     for candidate in output.inputs:
-        try:
-            frame = candidate()
-        except PySparkException:
-            continue
-        if has_columns(frame, *output.required):
+        frame = catalog.existing(candidate)
+        if frame is not None and has_columns(frame, *output.required):
             return frame
     return None
 
@@ -256,6 +252,32 @@ def standard_outputs(inputs: Mapping[str, Sequence[Callable[[], DataFrame]]], in
     return [Output(name, inputs.get(name, ()), build, required) for name, (build, required) in builders.items()]
 
 
+def gold_inputs(spark: SparkSession, root: str) -> dict[str, list[Callable[[], DataFrame]]]:
+    """The inputs of the gold outputs at their registered places."""
+    def at(name: str) -> Callable[[], DataFrame]:
+        return lambda: catalog.read_table(spark, root, name)
+
+    return {"yahoo_summary": [at("silver.market_ohlcv")], "worldbank_yoy": [at("silver.macro_observations")],
+            "treasury_yield_curve": [lambda: spark.read.parquet(f"{root}/silver/yield_curve")],
+            "fred_real_rates": [at("silver.rates")], "sec_filings": [at("silver.filings")]}
+
+
+def load_warehouse(spark: SparkSession, root: str) -> Star:
+    """The star schema from whatever silver tables there are; bars and observations must be."""
+    from tidelake.plans import warehouse
+
+    def optional(name: str) -> DataFrame | None:
+        return catalog.existing(lambda: catalog.read_table(spark, root, name))
+
+    bars, observations = (catalog.read_table(spark, root, n) for n in ("silver.market_ohlcv", "silver.macro_observations"))
+    master = optional("silver.equity_master")
+    star = warehouse.load_star(spark, warehouse.Silver(
+        bars, observations, master, optional("silver.crypto_ohlcv"), optional("silver.rates"), optional("silver.filings")))
+    if master is None:
+        master = spark.createDataFrame([], catalog.EQUITY_MASTER)
+    return Star({**star.tables, "silver_bars": lambda: bars, "equity_master": lambda: master})
+
+
 def summarise_sources(spark: SparkSession, root: str, runs: str) -> DataFrame:
     """``(source, bronze_keys, silver_rows)`` of all known sources: run records against silver tables.
 
@@ -264,10 +286,9 @@ def summarise_sources(spark: SparkSession, root: str, runs: str) -> DataFrame:
     tagged = []
     for source in catalog.SOURCES:
         name = {"yahoo": "silver.market_ohlcv", "worldbank": "silver.macro_observations"}.get(source, f"silver.{source}")
-        try:
-            tagged.append(catalog.read_table(spark, root, name).select(F.lit(source).alias("source")))
-        except PySparkException:
-            continue
+        rows = catalog.existing(lambda n=name: catalog.read_table(spark, root, n))
+        if rows is not None:
+            tagged.append(rows.select(F.lit(source).alias("source")))
     sources = spark.createDataFrame([(s,) for s in catalog.SOURCES], "source string")
     silver = aggregates.union_all(tagged) if tagged else sources.limit(0)
     return aggregates.source_summary(sources, writers.read_run_records(spark, runs), silver)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -85,6 +85,22 @@ TABLES: Mapping[str, Entry] = {
 }
 
 
+#: Error classes of a path that is not there; any other error is one.
+ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+
+
+def existing(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None where its files are not there."""
+    try:
+        return read()
+    except FileNotFoundError:
+        return None
+    except PySparkException as error:
+        if error.getCondition() in ABSENT:
+            return None
+        raise
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return TABLES[name].read(spark, root)
 
@@ -99,11 +115,10 @@ def register_existing(spark: SparkSession, root: str) -> list[str]:
     """Register every table of the registry that has files; returns their names."""
     found = []
     for name in TABLES:
-        try:
-            register_tables(spark, root, name)
+        frame = existing(lambda n=name: read_table(spark, root, n))
+        if frame is not None:
+            frame.createOrReplaceTempView(name.replace(".", "_"))
             found.append(name)
-        except PySparkException:
-            continue
     return found
 
 
