@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidelake.plans import adhoc
 from tidelake.sources import catalog, files, writers
 
-BAR = ('{{"symbol":"{0}","date":"{1}","epoch":1700000000,"open":100.0,"high":105.0,"low":99.0,"close":{2},'
-       '"adjClose":{2},"volume":1000000}}')
+BAR = ('{{"symbol":"{0}","date":"{1}","epoch":1600000000,"open":12.5,"high":99.5,"low":6.25,"close":{2},'
+       '"adjClose":{2},"volume":345}}')
 
 
 def put(root, relative, text):

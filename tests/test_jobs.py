@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def bronze_bars(tmp_path):
     put(tmp_path, "bronze/yahoo/symbol=AAPL/data.ndjson", "\n".join(
         [BAR.format("AAPL", "2023-12-29", 100.0), BAR.format("AAPL", "2024-01-02", 101.0), "",
-         BAR.format("AAPL", "2024-01-02", 101.0).replace("1700000000", "1800000000").replace("101.0", "102.123456")]))
+         BAR.format("AAPL", "2024-01-02", 101.0).replace("1600000000", "1800000000").replace("101.0", "102.123456")]))
     put(tmp_path, "bronze/yahoo/symbol=MSFT/data.ndjson", BAR.format("MSFT", "2024-01-02", 50.0))
     return str(tmp_path / "bronze/yahoo")
 

@@ -42,8 +42,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trade_sequence() -> Column:
-    """Trade order: order, line, price. Exact for prices in cents below 10^10."""
+    """Trade order: order, line, price. Prices of 10^10 and more would run into the line number, so they end the job."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.when(cents < 1_000_000_000_000, cents).otherwise(F.raise_error(F.lit("price too large to order trades")).cast("bigint"))
     return sequence_key("l_orderkey", F.col("l_linenumber").cast("bigint") * 1_000_000_000_000 + cents)
 
 

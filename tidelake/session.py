@@ -40,9 +40,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
+        if "://" not in configured and not configured.startswith("file:") and not context.master.startswith("local"):
+            # a bare path is that of the cluster's default file system, which must not be the machine's own
+            default = context._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+            if default.startswith("file:"):
+                raise RuntimeError("spark.checkpoint.dir needs the scheme of a file system that all executors share")
         return configured.rstrip("/")
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
