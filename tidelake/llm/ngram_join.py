@@ -346,8 +346,8 @@ def token_sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
 
 def stars(postings: DataFrame, info: DataFrame) -> DataFrame:
     """Edges (ka, kb) between texts that share a pair of frequent tokens: each pair's least text with all others."""
-    least = postings.groupBy("a").agg(F.min("b").alias("hub"), F.max("b").alias("top")).where("hub < top").select("a", "hub")
-    edges = postings.join(least, "a").where("b > hub").select("hub", "b").distinct()
+    least = postings.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("hub"), F.max("b").alias("top")).where("hub < top")
+    edges = spread_join(postings, checkpointed(least), "a", "of").where("b > hub").select("hub", "b").distinct()
     side = lambda p: info.select(F.col("short").alias(p), F.col("key").alias(f"k{p}"))
     return edges.withColumnRenamed("hub", "a").join(side("a"), "a").join(side("b"), "b").select("ka", "kb")
 
