@@ -49,6 +49,19 @@ def test_pieces_and_sequences(spark, length, units):
     assert len(bins) <= 1.06 * least + 1
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    """The library in its default setting, on texts that hold the file's added token literally."""
+    token = "<|endoftext|>"
+    texts = [f"a{token}b", token, token * 3, f"é  {token}  it's\n{token}", f"x {token[:-1]}", f"{token[1:]} 'll", "plain", "", None,
+             f"<{token}>", f"word {token} " * 3000]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    library = Tokenizer.from_file(PATH)
+    found = packing.token_pieces(documents(spark, rows).coalesce(1), PATH, 1 << 20).collect()
+    want = [(k, np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4")) for k, t in rows]
+    assert 50256 in want[0][1]
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in found) == [(k, len(x), zlib.crc32(x.tobytes())) for k, x in want]
+
+
 def test_best_fit_takes_the_tightest_room():
     bins, offsets = packing.best_fit(np.array([60, 50, 40, 30, 10]), 100)
     assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 60, 50, 80]

@@ -79,6 +79,14 @@ def read_merges(path: str) -> Merges:
     return _vocabulary(tokens, pairs)
 
 
+def read_added(path: str) -> dict[bytes, int]:
+    """The added tokens of a tokenizer file in JSON, which match in a text before its pieces are found, and their ids."""
+    added = json.loads(resource(path)).get("added_tokens", [])
+    if any(token.get(flag) for token in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that match by more than their content are not read")
+    return {token["content"].encode(): token["id"] for token in added}
+
+
 class PairTable:
     """Open addressing over pairs of ids; misses give NONE."""
 

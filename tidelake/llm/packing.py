@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -42,12 +43,37 @@ def _encoder(path: str):
     return merges, PieceEncoder if (np.diff(by_rank.astype(np.int64)) > 0).all() else bpe.Encoder
 
 
+def encoded(encoder: bpe.Encoder, added: dict[bytes, int], data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows and the offsets of the rows among them; added tokens, the longest first, part a row into texts of their own."""
+    pattern = re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)))
+    raw = data.tobytes()
+    if not added or not pattern.search(raw):
+        return encoder.encode(data, offsets)
+    texts, tokens, rows = [], [], [0]
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        for m in pattern.finditer(raw, a, b):
+            texts.append(raw[a:m.start()])
+            tokens.append(added[m[0]])
+            a = m.end()
+        texts.append(raw[a:b])
+        tokens.append(-1)
+        rows.append(len(texts))
+    cuts = np.r_[0, np.cumsum([len(x) for x in texts])]
+    ids, at = encoder.encode(np.frombuffer(b"".join(texts), np.uint8), cuts)
+    tokens = np.array(tokens, np.int64)
+    closed = tokens >= 0
+    ids = np.insert(ids, at[1:][closed], tokens[closed].astype(np.uint32))
+    return ids, (at + np.r_[0, np.cumsum(closed)])[rows]
+
+
 def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END_OF_TEXT) -> DataFrame:
     """Documents as ids plus an end token, cut into pieces: only longer ones, the first piece being the shorter one.
 
-    Each row gives at least one piece, an empty or null text that of the end token alone.
+    Each row gives at least one piece, an empty or null text that of the end token alone. The file's added tokens that a
+    text holds literally get their own ids, as in the tokenizers library's default setting.
     """
     merges, kind = _encoder(path)
+    added = bpe.read_added(path)
     shared = docs.sparkSession.sparkContext.broadcast(vars(merges))  # plain arrays: workers may lack this package
     names = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -55,7 +81,7 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = EN
         encoder = kind(bpe.Merges(**shared.value))
         for batch in batches:
             for first, last, data, offsets in bpe.slices(batch.column("text"), bpe.SLICE):
-                ids, at = encoder.encode(data, offsets)
+                ids, at = encoded(encoder, added, data, offsets)
                 total = np.diff(at) + 1
                 number = -(-total // length)
                 row = np.repeat(np.arange(len(total)), number)
