@@ -39,10 +39,11 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark and n_chars brought up to date. Only texts with a match move."""
-    paths, ledger = secret_scan.scan(docs, "doc_id")
-    found = secret_scan.findings(paths, ledger).where(F.size("spans") > 0).distinct().select(
+    rules = secret_scan.REDACTION_RULES
+    paths, ledger = secret_scan.scan(docs, "doc_id", rules=rules)
+    found = secret_scan.findings(paths, ledger, rules).where(F.size("spans") > 0).distinct().select(
         F.col("path").alias("__path"), F.col("blob").alias("__blob"), "spans")
-    hit = F.coalesce(secret_scan.suspected(F.col("text")), F.lit(False))
+    hit = F.coalesce(secret_scan.suspected(F.col("text"), rules), F.lit(False))
     same = F.col("doc_id").eqNullSafe(F.col("__path")) & (F.unhex(F.sha2(F.col("text"), 256)) == F.col("__blob"))
     joined = docs.where(hit).join(found.withColumnRenamed("spans", "__spans").hint("shuffle_hash"), same, "left")
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(secret_scan.redacted(F.col("text"), F.col("__spans")))

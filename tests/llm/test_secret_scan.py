@@ -55,3 +55,43 @@ def test_no_python_in_the_plan(spark):
     paths, ledger = secret_scan.scan(documents(spark, [(1, "x")]), "doc_id")
     plan = ledger._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+HEAD, FOOT = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+BODY = ["MIIEpAIBAAKCAQEA" + "aB3+/xYz" * 6] * 3 + ["Qk9EWQ=="]
+KEYS = {  # text -> what redaction leaves
+    "\n".join(["a", HEAD, *BODY, FOOT, "z"]): "a\n[secret]\nz",
+    "\r\n".join(["a", HEAD, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A-1B", "", *BODY, FOOT, "z"]): "a\r\n[secret]\r\nz",
+    "\\n".join(["key='" + HEAD, *BODY, FOOT + "'"]): "key='[secret]'",
+    "\n".join(["a", HEAD, *BODY]): "a\n[secret]",
+    "\n".join(["a", HEAD, *BODY, "the text goes on - far"]): "a\n[secret]\nthe text goes on - far",
+    "\n".join(["a", HEAD, BODY[0], HEAD, *BODY, FOOT, "z"]): "a\n[secret]\n[secret]\nz",
+    f"see {HEAD} in a file": "see [secret] in a file",
+    "\n".join(["a", HEAD, *BODY * 5000, "x-y " * 20000, FOOT, "z"]): "a\n[secret]\nz",
+}
+
+
+def test_redaction_takes_whole_private_keys(spark):
+    import corpus_pipeline
+
+    rows = list(enumerate(KEYS))
+    out = {r.doc_id: r.text for r in corpus_pipeline.without_secrets(spark, documents(spark, rows), "").collect()}
+    assert out == dict(enumerate(KEYS.values()))
+
+
+def test_findings_read_one_rule_version(spark):
+    docs = documents(spark, [(1, TEXTS[0]), (2, TEXTS[4]), (3, "clean")])
+    raised = (secret_scan.Rule("access", 2, "AKIA[A-Z0-9]{4}"),)
+    paths, ledger = secret_scan.scan(docs, "doc_id")
+    both = ledger.unionByName(secret_scan.scan(docs, "doc_id", ledger=ledger, rules=raised)[1])
+    assert {r.path: len(r.spans) for r in secret_scan.findings(paths, both).collect()} == {1: 2, 2: 2, 3: 0}
+    again = secret_scan.findings(paths, both, raised).collect()
+    assert sorted((r.path, len(r.spans)) for r in again) == [(1, 0), (2, 2), (3, 0)]
+
+
+def test_parts_scan_as_the_whole(spark):
+    rows = awkward() + list(enumerate(TEXTS * 3, 100))
+    paths, ledger = secret_scan.scan_in_parts(documents(spark, rows), "doc_id", F.col("doc_id") % 2 == 0)
+    found = secret_scan.findings(paths, ledger).select("path", secret_scan.joined_spans(base_of(F.col("spans"))))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(((d, expected(t)) for d, t in rows), key=repr)
+    assert ledger.count() == len({t or "" for _, t in rows})  # no blob of the earlier part again

@@ -55,8 +55,7 @@ def _secrets_sql() -> str:
 
 @registered("op7_secret_scan", _secrets_sql())
 def op7_secret_scan(spark, sf_dir):
-    paths, ledger = secret_scan.scan(table(spark, sf_dir, "documents"), "doc_id")
-    found = secret_scan.findings(paths, ledger)
+    found = secret_scan.findings(*secret_scan.scan_in_parts(table(spark, sf_dir, "documents"), "doc_id", exact_dedup.earlier_half()))
     kinds = [rule.kind for rule in secret_scan.RULES if rule.base]
 
     def count(kind):

@@ -7,7 +7,7 @@ all paths that ever held the blob. A blob found under thousands of paths is thus
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,6 +39,16 @@ RULES = (
     Rule("bearer", 1, r"(?i)bearer\x20+([A-Za-z0-9._~+/=-]+)", 1, 20, False),
 )
 
+#: A private key whole: to its END line, which no other five dashes precede, or where that is missing over the lines of base64, and
+#: headers of the key, that follow; line ends may be escaped or quoted. Possessive groups need no stack, however long the key is.
+_BREAK = r"""(?:[\s"'+,>]|\\[nrt])*+"""
+_LINE = r"(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*+|[A-Za-z0-9+/]{16,}+={0,2}+)"
+_LAST = r"[A-Za-z0-9+/]{1,15}+={0,2}+"
+WHOLE_KEY = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+             rf"|(?:(?:{_BREAK}{_LINE})++(?:{_BREAK}{_LAST})?+)?+)")
+#: The rules for redaction. RULES tells where a key begins, as its SQL does; what is replaced must hold the key itself.
+REDACTION_RULES = tuple(replace(r, version=r.version + 1, pattern=WHOLE_KEY) if r.kind == "pem" else r for r in RULES)
+
 
 def spans(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of one rule, in code points, end exclusive.
@@ -115,12 +125,22 @@ def scan(versions: DataFrame, path: str = "path", text: str = "text", ledger: Da
     return at.select("path", "blob"), new.select("blob", F.lit(version_of(rules)).alias("rules"), "spans").dropDuplicates(["blob"])
 
 
-def findings(paths: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Spans of every path: all paths, with an empty list where the blob holds nothing.
+def scan_in_parts(versions: DataFrame, path: str, earlier: Column, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """All paths and their ledger, as after two scans: of the ``earlier`` rows, then of the others against the first scan's ledger."""
+    early = F.coalesce(earlier, F.lit(False))
+    old_paths, ledger = scan(versions.where(early), path, rules=rules)
+    ledger = checkpointed(ledger)
+    paths, new = scan(versions.where(~early), path, ledger=ledger, rules=rules)
+    return old_paths.unionByName(paths), ledger.unionByName(checkpointed(new))
+
+
+def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Spans of every path by these rules: all paths, with an empty list where the blob holds nothing.
 
-    A blob that a third of all paths hold meets its spans by broadcast, see ``spread_join``.
+    The ledger may hold rows of other rule versions, which are not read. A blob that a third of all paths hold meets its spans by broadcast, see ``spread_join``.
     """
-    held = checkpointed(ledger.where(F.size("spans") > 0).select(F.col("blob").alias("found"), "spans"))
+    held = checkpointed(ledger.where((F.col("rules") == version_of(rules)) & (F.size("spans") > 0)).select(
+        F.col("blob").alias("found"), "spans"))
     joined = spread_join(checkpointed(paths), held, "blob", "found")
     return joined.select("path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
