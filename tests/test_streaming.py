@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidelake.functions import sequence_key
@@ -87,6 +88,32 @@ def test_duplicates_across_drops(spark, tmp_path):
     assert run() == 5
 
 
+@pytest.mark.parametrize("by_day", [True, False])
+def test_duplicates_after_a_compaction(spark, tmp_path, by_day):
+    """Keys that the compacted part holds are known, also those with nulls; later repeats and new keys go on as before."""
+    schema, log = "symbol string, ts timestamp, price double", str(tmp_path / "log")
+    moment = datetime.datetime(2024, 1, 1)
+    rows = [("A", moment, 1.0), ("A", moment + datetime.timedelta(days=40), 2.0), (None, moment, 5.0), ("A", None, 6.0)]
+
+    def run(some):
+        drop(spark, some, str(tmp_path / "in"), schema)
+        stream = jobs.file_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1)
+        jobs.start_distinct(stream, log, str(tmp_path / "state"), ["symbol", "ts"], F.to_date("ts")).awaitTermination()
+        return sorted(map(tuple, jobs.read_distinct(spark, log).collect()), key=repr)
+
+    want = sorted(rows, key=repr)
+    for k in range(3):
+        new = [("B", moment + datetime.timedelta(days=k), 3.0)]
+        want = sorted(want + new, key=repr)
+        assert run(rows + new) == want
+        if by_day:
+            jobs.compact_distinct(spark, log, ["symbol", "ts"])
+        else:
+            jobs.compact_log(spark, log, lambda r: r)
+        assert [p.name for p in (tmp_path / "log/new").iterdir() if p.is_dir()] == []
+    assert run(rows) == want
+
+
 def test_merge_of_thousands_of_partitions(spark, tmp_path):
     """A batch that touches 5000 partitions, and stages that do not pile up."""
     schema = "k int, v int, part int"

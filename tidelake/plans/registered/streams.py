@@ -41,13 +41,14 @@ def stream_tick_bars(spark, sf_dir):
 
 @registered("stream_deduplicated", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_deduplicated(spark, sf_dir):
-    """The table streamed twice over loses its second copy and nothing else."""
+    """The table streamed twice over loses its second copy and nothing else; the log is compacted between the copies."""
     path, rows = scratch_path(spark, "in-twice"), table(spark, sf_dir, "events").withColumn("ts", utc_instant("ts"))
+    log, state, keys = scratch_path(spark, "dedup-log"), scratch_path(spark, "dedup-state"), ["event_id", "ts"]
     for order in (F.col("ts").desc(), F.xxhash64("event_id")):
         rows.repartitionByRange(FILES, order).write.mode("append").parquet(path)
-    log = scratch_path(spark, "dedup-log")
-    jobs.start_distinct(jobs.file_stream(spark, path, rows.schema, files_per_batch=1), log, scratch_path(spark, "dedup-state"),
-                        ["event_id", "ts"], epoch_date(F.unix_seconds("ts"))).awaitTermination()
+        jobs.start_distinct(jobs.file_stream(spark, path, rows.schema, files_per_batch=1), log, state, keys,
+                            epoch_date(F.unix_seconds("ts"))).awaitTermination()
+        jobs.compact_distinct(spark, log, keys)
     return jobs.read_distinct(spark, log).select("event_id", "user_id", "event_type", "value")
 
 

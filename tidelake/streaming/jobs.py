@@ -113,18 +113,30 @@ def start_log(rows: DataFrame, log_path: str, checkpoint: str, reduce_batch: Cal
     return _started(rows.writeStream.foreachBatch(write), checkpoint, interval)
 
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """Rows of the newest compacted part and of all batches after it, with their ``batch_id``."""
-    base = _batches(spark, f"{log_path}/compact")
+def _log_parts(spark: SparkSession, log_path: str, schema: StructType | None = None, before: int | None = None) -> list[DataFrame]:
+    """The batches after the newest compacted part, only those ``before`` one if given, and that part; either may be missing."""
+    def reader():
+        return spark.read if schema is None else spark.read.schema(schema)
+
+    base, parts = _batches(spark, f"{log_path}/compact"), []
     newest = base[-1] if base else -1
-    paths = [f"{log_path}/new/{BATCH}={b}" for b in _batches(spark, f"{log_path}/new") if b > newest]
-    parts = [spark.read.option("basePath", f"{log_path}/new").parquet(*paths)] if paths else []
     if base:
-        parts.append(spark.read.parquet(f"{log_path}/compact/{BATCH}={newest}").withColumn(BATCH, F.lit(newest)))
-    return reduce(DataFrame.unionByName, parts)
+        folded = reader().parquet(f"{log_path}/compact/{BATCH}={newest}").withColumn(BATCH, F.lit(newest))
+        parts.append(folded)
+        schema = folded.schema  # batches without a new key have no file to tell it
+    paths = [f"{log_path}/new/{BATCH}={b}" for b in _batches(spark, f"{log_path}/new") if b > newest and (before is None or b < before)]
+    if paths:
+        parts.append(reader().option("basePath", f"{log_path}/new").parquet(*paths))
+    return parts
 
 
-def compact_log(spark: SparkSession, log_path: str, merge: Callable[[DataFrame], DataFrame]) -> None:
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """Rows of the newest compacted part and of all batches after it, with their ``batch_id``."""
+    return reduce(DataFrame.unionByName, _log_parts(spark, log_path))
+
+
+def compact_log(spark: SparkSession, log_path: str, merge: Callable[[DataFrame], DataFrame],
+                partition_by: Sequence[str] = ()) -> None:
     """Replace all batches so far by one part, made by ``merge``, so that reads do not slow down with the log's age.
 
     The part counts once it is complete; only then what it replaces is removed. Run it between batches, not beside them.
@@ -133,7 +145,7 @@ def compact_log(spark: SparkSession, log_path: str, merge: Callable[[DataFrame],
     older = _batches(spark, f"{log_path}/compact")
     if not batches or older and batches[-1] <= older[-1]:
         return
-    merge(read_log(spark, log_path).drop(BATCH)).write.mode("overwrite").option("compression", "zstd").parquet(
+    merge(read_log(spark, log_path).drop(BATCH)).write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(
         f"{log_path}/compact/{BATCH}={batches[-1]}")
     _remove_batches(spark, f"{log_path}/compact", batches[-1] - 1)
     _remove_batches(spark, f"{log_path}/new", batches[-1])
@@ -175,18 +187,17 @@ def start_distinct(stream: DataFrame, log_path: str, checkpoint: str, keys: Sequ
     """Keep the first row of every key, however far apart repeats arrive.
 
     ``day`` must follow from the keys. A batch is compared with the log's rows of its own days only; the log is
-    partitioned by them. A replayed batch sees the same earlier batches and writes the same rows again.
+    partitioned by them, its compacted part too. A replayed batch sees the same earlier batches and writes the same rows again; if
+    they were compacted meanwhile, it finds them all known, and its directory is not read.
     """
     named = ["_day", *keys]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = keep_latest(batch.withColumn("_day", day), named, [])
-        earlier = [b for b in _batches(spark, f"{log_path}/new") if b < batch_id]
-        if earlier:
-            known = spark.read.schema(rows.schema).option("basePath", f"{log_path}/new").parquet(
-                *[f"{log_path}/new/{BATCH}={b}" for b in earlier]).select(*named)
-            known = _touched(known, rows, ["_day"]).select(*[F.col(c).alias(f"_known_{c}") for c in named])
+        parts = [_touched(p.select(*named), rows, ["_day"]) for p in _log_parts(spark, log_path, rows.schema, batch_id)]
+        if parts:
+            known = reduce(DataFrame.unionByName, parts).select(*[F.col(c).alias(f"_known_{c}") for c in named])
             same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in named])
             rows = rows.join(known, same, "left_anti")
         rows.write.mode("overwrite").option("compression", "zstd").partitionBy("_day").parquet(f"{log_path}/new/{BATCH}={batch_id}")
@@ -194,5 +205,10 @@ def start_distinct(stream: DataFrame, log_path: str, checkpoint: str, keys: Sequ
     return _started(stream.writeStream.foreachBatch(write), checkpoint, interval)
 
 
+def compact_distinct(spark: SparkSession, log_path: str, keys: Sequence[str]) -> None:
+    """Fold the log of duplicates into one part, by day; see ``compact_log``."""
+    compact_log(spark, log_path, lambda rows: rows.repartitionByRange("_day", *keys), ["_day"])
+
+
 def read_distinct(spark: SparkSession, log_path: str) -> DataFrame:
     return read_log(spark, log_path).drop(BATCH, "_day")
