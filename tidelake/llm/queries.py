@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.llm import alignment, ann, bpe, exact_dedup, line_dedup, ngram_join, packing, quality, secret_scan, url_filter, warc
+from tidelake.llm import alignment, ann, bpe, exact_dedup, line_dedup, near_dedup, ngram_join, packing, quality, secret_scan, url_filter, warc
 from tidelake.llm.common import table
 from tidelake.llm.registry import ORACLES, QUERIES, registered
 
@@ -153,3 +153,8 @@ def op8_url_filter(spark, sf_dir):
 def op11_token_alignment(spark, sf_dir):
     out = alignment.counted(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@registered("op13_minhash_near_dedup")
+def op13_minhash_near_dedup(spark, sf_dir):
+    return near_dedup.classes(table(spark, sf_dir, "documents"), width=3, percent=85)
