@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.llm import alignment, ann, bpe, exact_dedup, line_dedup, near_dedup, ngram_join, packing, quality, secret_scan, url_filter, warc
+from tidelake.llm import alignment, ann, bpe, exact_dedup, line_dedup, near_dedup, ngram_join, packing, quality, ranked_search, secret_scan, url_filter, warc
 from tidelake.llm.common import table
 from tidelake.llm.registry import ORACLES, QUERIES, registered
 
@@ -158,3 +158,8 @@ def op11_token_alignment(spark, sf_dir):
 @registered("op13_minhash_near_dedup")
 def op13_minhash_near_dedup(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@registered("op12_ranked_search")
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.ranked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

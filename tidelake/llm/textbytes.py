@@ -79,9 +79,12 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, and for each row the index of its first word (one more entry at the end)."""
-    inside = ~SPACES[data]
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and for each row the index of its first word (one more entry at the end).
+
+    ``between`` tells for each byte whether it parts words.
+    """
+    inside = ~between[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
