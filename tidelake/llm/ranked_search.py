@@ -20,11 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidelake.llm.alignment import packed, unpacked
 from tidelake.llm.textbytes import Powers, byte_values, segment_hashes, slices, words
 from tidelake.session import scratch_path
 
 #: Postings and documents of one shard: a shard ends with the document that reaches either.
-SHARD_POSTINGS, SHARD_DOCUMENTS = 1 << 21, 1 << 15
+SHARD_POSTINGS, SHARD_DOCUMENTS = 1 << 20, 1 << 15
 #: Ranges that are halved at once.
 BATCH = 512
 #: Terms of the items of one block, whose rows every task holds; one longer item makes a block alone.
@@ -88,7 +89,7 @@ def spread(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_ONES = np.array([bin(k).count("1") for k in range(16)], np.int64)
+_ONES = np.array([bin(k).count("1") for k in range(16)], np.int32)
 
 
 class Treap:
@@ -97,7 +98,7 @@ class Treap:
     def __init__(self, height: int, quarters: np.ndarray, most: np.ndarray):
         self.height, self.quarters, self.most = height, quarters, most
         number = _ONES[quarters]
-        self.next = 1 + np.cumsum(number) - number  # quarters follow in the order of their cells
+        self.next = 1 + np.cumsum(number, dtype=np.int32) - number  # quarters follow in the order of their cells
 
     @classmethod
     def build(cls, rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> Treap:
@@ -121,7 +122,7 @@ class Treap:
 
     @classmethod
     def restored(cls, height: int, quarters: np.ndarray, lacking: np.ndarray) -> Treap:
-        most, number, begin, end = lacking.astype(np.int64), _ONES[quarters], 0, 1
+        most, number, begin, end = lacking.astype(np.int32), _ONES[quarters], 0, 1
         while end < len(most):
             count = number[begin:end]
             after = end + int(count.sum())
@@ -169,7 +170,7 @@ class Treap:
         return [(value, -column) for value, column in sorted(found, reverse=True)]
 
 
-SHARD = "docs binary, terms binary, holders binary, row binary, height int, quarters binary, most binary"
+SHARD = "docs binary, terms binary, holders binary, row binary, quarters binary, most binary, height int"
 
 
 def build_index(docs: DataFrame, stats: Corpus, path: str) -> DataFrame:
@@ -189,10 +190,9 @@ def build_index(docs: DataFrame, stats: Corpus, path: str) -> DataFrame:
             row = np.empty(len(terms), np.int64)
             row[np.argsort(-holders, kind="stable")] = np.arange(len(terms))
             tree = Treap.build(row[where], column, impact)
-            blobs = (ids[rank].astype("<i8"), terms.astype("<u8"), holders.astype("<i4"), row.astype("<i4"))
-            return pa.RecordBatch.from_arrays([*[pa.array([x.tobytes()], pa.binary()) for x in blobs], pa.array([tree.height], pa.int32()),
-                                               pa.array([tree.quarters.tobytes()], pa.binary()),
-                                               pa.array([tree.differences().astype("<i4").tobytes()], pa.binary())],
+            blobs = (ids[rank].astype("<i8").tobytes(), terms.astype("<u8").tobytes(), packed(holders), packed(row),
+                     packed(tree.quarters), packed(tree.differences()))
+            return pa.RecordBatch.from_arrays([*[pa.array([x], pa.binary()) for x in blobs], pa.array([tree.height], pa.int32())],
                                               names=[c.split()[0] for c in SHARD.split(", ")])
 
         for batch in batches:
@@ -207,7 +207,7 @@ def build_index(docs: DataFrame, stats: Corpus, path: str) -> DataFrame:
         if held:
             yield shard()
 
-    docs.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)
+    docs.mapInArrow(run, SHARD).write.parquet(path)
     return docs.sparkSession.read.schema(SHARD).parquet(path)
 
 
@@ -233,7 +233,7 @@ def document_numbers(index: DataFrame, terms: np.ndarray) -> np.ndarray:
         total = np.zeros(len(wanted), np.int64)
         for batch in batches:
             for own, holders in zip(batch.column("terms").to_pylist(), batch.column("holders").to_pylist(), strict=True):
-                own, holders = np.frombuffer(own, "<u8"), np.frombuffer(holders, "<i4")
+                own, holders = np.frombuffer(own, "<u8"), unpacked(holders)
                 at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
                 total += np.where(own[at] == wanted, holders[at], 0)
         at = np.flatnonzero(total)
@@ -256,16 +256,17 @@ def probed(index: DataFrame, stats: Corpus, block: list[tuple[int | None, np.nda
         ids, queries = shared.value
         best: list[list[tuple[int, int]]] = [[] for _ in queries]  # (-score, doc_id)
         for batch in batches:
-            for shard in batch.to_pylist():
-                docs, own, row = (np.frombuffer(shard[c], t) for c, t in (("docs", "<i8"), ("terms", "<u8"), ("row", "<i4")))
-                tree = Treap.restored(shard["height"], np.frombuffer(shard["quarters"], np.uint8), np.frombuffer(shard["most"], "<i4"))
+            for at in range(batch.num_rows):
+                shard = {c: batch.column(c)[at].as_py() for c in batch.schema.names}
+                docs, own, row = np.frombuffer(shard["docs"], "<i8"), np.frombuffer(shard["terms"], "<u8"), unpacked(shard["row"])
+                tree = Treap.restored(shard["height"], unpacked(shard["quarters"]).astype(np.uint8), unpacked(shard["most"]))
                 for k, (wanted, weights) in enumerate(queries):
-                    at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
-                    here = own[at] == wanted
+                    place = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+                    here = own[place] == wanted
                     if not here.any():
                         continue
                     floor = -best[k][-1][0] if len(best[k]) == most else 0
-                    found = tree.best(row[at[here]].astype(np.int64), weights[here], most, floor)
+                    found = tree.best(row[place[here]].astype(np.int64), weights[here], most, floor)
                     best[k] = sorted(best[k] + [(-score, int(docs[c])) for score, c in found])[:most]
         item = np.repeat(np.arange(len(best)), [len(b) for b in best])
         doc = [d if d != NO_ID else None for b in best for _, d in b]
@@ -274,9 +275,7 @@ def probed(index: DataFrame, stats: Corpus, block: list[tuple[int | None, np.nda
             pa.array(doc, pa.int64()), pa.array([-s for b in best for s, _ in b], pa.int64())],
             names=["block", "item", "item_id", "doc_id", "score"])
 
-    parts = max(1, index.count())
-    return index.select("docs", "terms", "row", "height", "quarters", "most").repartition(
-        min(parts, max(index.sparkSession.sparkContext.defaultParallelism, parts // 4))).mapInArrow(
+    return index.select("docs", "terms", "row", "height", "quarters", "most").mapInArrow(
         run, "block long, item long, item_id long, doc_id long, score long")
 
 
