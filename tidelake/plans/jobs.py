@@ -170,22 +170,55 @@ def load_feed(spark: SparkSession, source: str, bronze: str, root: str) -> DataF
     return files.read_parquet(spark, kept, REJECT)
 
 
+#: Fields of a yield-curve line that are read; the vendor's widest header has 15.
+CURVE_FIELDS = 64
+
+
+def wide_lines(raw_files: DataFrame) -> DataFrame:
+    """Lines of CSV payloads, each by the header of its own file: ``(source_key, fields)``, a map from column name to text.
+
+    Files may have different headers in any order. Blank lines are skipped, fields beyond the header have no name, missing ones are null.
+    """
+    names = [f"f{k}" for k in range(CURVE_FIELDS)]
+
+    def fields(line):
+        row = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"escape": '"', "ignoreLeadingWhiteSpace": "true",
+                                                                         "ignoreTrailingWhiteSpace": "true"})
+        return F.array(*[row[n] for n in names])
+
+    lines = F.filter(F.split(F.regexp_replace("raw", "^\ufeff", ""), r"\r\n|\r|\n"), lambda x: F.trim(x) != "")
+    split = raw_files.select("source_key", lines.alias("lines")).select(
+        "source_key", F.get("lines", F.lit(0)).alias("head"), F.explode(F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line"))
+    pairs = F.filter(F.arrays_zip(fields(F.col("head")).alias("name"), fields(F.col("line")).alias("value")), lambda p: p["name"].isNotNull())
+    return split.select("source_key", F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.trim(p["name"]), p["value"]))).alias("fields"))
+
+
 def load_yield_curve(spark: SparkSession, bronze: str, root: str) -> DataFrame:
     """Wide yield-curve CSV files to the silver table in the same form; returns the rows whose date is unreadable as rejects.
 
-    The columns are those of the widest header: files of earlier years have fewer maturities.
+    Files may have any name. Every file is read by its own header, and the table has the columns of all headers, by name.
     """
-    wide = spark.read.options(**files.CSV_DIALECT).option("header", True).option("multiLine", True).option(
-        "recursiveFileLookup", True).csv(bronze)
+    lines = wide_lines(files.read_payloads(spark, bronze)).withColumn("Date", F.col("fields")["Date"])
     date = F.coalesce(*[F.try_to_date("Date", f) for f in ("MM/dd/yyyy", "yyyy-MM-dd")])
-    typed = wide.select(date.alias("Date"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in wide.columns if c != "Date"])
-    writers.write_parquet(typed.where(F.col("Date").isNotNull()), f"{root}/silver/yield_curve")
+    headers = lines.select(F.explode(F.map_keys("fields")).alias("c")).where("c <> 'Date'").distinct()
+    maturities = sorted((r["c"] for r in headers.collect()), key=_maturity)  # at most CURVE_FIELDS to a header
+    typed = lines.where(date.isNotNull()).select(date.alias("Date"), *[F.col("fields")[c].try_cast("double").alias(c) for c in maturities])
+    writers.write_parquet(typed, f"{root}/silver/yield_curve")
     kept = f"{root}/rejects/treasury"
-    writers.write_parquet(wide.where(date.isNull()).select(
+    writers.write_parquet(lines.where(date.isNull()).select(
         F.lit("treasury").alias("source"), F.col("Date").alias("key"), F.lit("no date").alias("reason")), kept)
     return files.read_parquet(spark, kept, REJECT)
 
 
+def _maturity(name: str) -> tuple[float, str]:
+    """Months of a maturity such as '1.5 Mo' or '30 Yr', others last."""
+    number, _, unit = name.partition(" ")
+    try:
+        return float(number) * {"Mo": 1, "Month": 1, "Yr": 12, "Year": 12}[unit], name
+    except (ValueError, KeyError):
+        return float("inf"), name
+
+
 def bronze_rejects(spark: SparkSession, bronze: str, schema: str, source: str, date: str | None = "date") -> DataFrame:
     """``(source, key, reason)`` of bronze lines that a merge leaves out: torn lines, and dates that are none."""
     rows = files.read_json_lines(spark, bronze, schema, name_glob="*.ndjson", keep_corrupt=True)

@@ -145,16 +145,29 @@ CURVE = """
 
 @registered("feed_yield_curve", CURVE)
 def feed_yield_curve(spark, sf_dir):
-    """Wide CSV files per year with an unreadable line, to the wide silver table and on to rates."""
+    """Wide CSV files per month, whose headers have other columns in another order each, with unreadable lines, to the wide
+    silver table and on to rates. Files lie as raw stores write them, one below each key."""
     from tidelake.sources import payloads
     bronze, root = scratch_path(spark, "bronze-curve"), scratch_path(spark, "lake-curve")
     wide = StandIns(spark, sf_dir).yield_curve
-    texts = wide.select(F.date_format("Date", "MM/dd/yyyy").alias("Date"), *[F.col(f"`{c}`").cast("string").alias(c) for c in wide.columns[1:]])
-    bad = texts.limit(1).withColumn("Date", F.lit("n/a"))
-    writers.write_csv(texts.unionByName(bad), bronze)
-    if jobs.load_yield_curve(spark, bronze, root).count() != 1:
-        raise ValueError("one line has no date")
-    return payloads.yield_curve_rates(spark.read.parquet(f"{root}/silver/yield_curve"))
+    names = wide.columns[1:]
+    day, month = F.date_format("Date", "MM/dd/yyyy"), F.date_format("Date", "yyyyMM")
+    values = {c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in names}
+    layouts = [["Date", *names], [*names[::-1], "Date"], ["Date", *names[2:], names[0], names[1], "20 Yr"]]
+    rows = wide.select(month.alias("month"), (F.month("Date") % 3).alias("layout"), F.array(*[F.concat_ws(",", *[
+        day if c == "Date" else F.concat(F.lit('"'), values[c], F.lit('"')) if c in values else F.lit("") for c in layout])
+        for layout in layouts]).alias("lines"))
+    heads = F.array(*[F.lit(",".join(f'"{c}"' for c in layout)) for layout in layouts])
+    bad = F.lit("n/a" + "," * len(names))
+    texts = rows.groupBy("month", "layout").agg(F.collect_list(F.get("lines", F.col("layout"))).alias("lines"))
+    writers.write_raw(texts.select("month", F.concat(F.get(heads, F.col("layout")), F.lit("\r\n"), F.array_join("lines", "\r\n"), F.when(
+        F.col("layout") == 0, F.concat(F.lit("\r\n\r\n"), bad)).otherwise("")).alias("value")), bronze, "month")
+    if jobs.load_yield_curve(spark, bronze, root).count() != texts.where("layout = 0").count():
+        raise ValueError("a line of every third file has no date")
+    silver = spark.read.parquet(f"{root}/silver/yield_curve")
+    if set(silver.columns) != {"Date", *names, "20 Yr"}:
+        raise ValueError(f"columns {silver.columns}")
+    return payloads.yield_curve_rates(silver)
 
 
 @registered("bronze_rejects", """
