@@ -6,13 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelake.plans import file_functions
 from tidelake.plans.views import VIEW_NAMES, Star, Views
 from tidelake.sources import files
 
 
 def query(spark: SparkSession, text: str, **parameters: object) -> DataFrame:
-    """Any Spark SQL text; ``:name`` markers take ``parameters``."""
-    return spark.sql(text, args=parameters or None)
+    """Any Spark SQL text; ``:name`` markers take ``parameters``. Files are tables too, see ``file_functions``."""
+    return file_functions.query(spark, text, parameters)
 
 
 def query_csv(spark: SparkSession, path: str, schema: str, where: str | None = None) -> DataFrame:
