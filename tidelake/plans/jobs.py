@@ -52,20 +52,24 @@ def fixed_row(spark: SparkSession, one_row: DataFrame) -> DataFrame:
 
 # --- bronze to silver -----------------------------------------------------------------
 
-def silver_bars(spark: SparkSession, bronze: str, source_format: str = "ndjson") -> DataFrame:
-    """Bronze bars to typed, de-duplicated bars with their year.
-
-    NDJSON bars may spell the adjusted close either way and need no audit columns.
-    """
+def market_rows(spark: SparkSession, bronze: str | list[str], source_format: str = "ndjson") -> DataFrame:
+    """Bronze bars as typed rows, all versions of them. NDJSON bars may spell the adjusted close either way and need no audit columns."""
     if source_format == "csv":
-        rows = files.read_csv(spark, bronze, catalog.BAR)
-        audited = rows
+        audited = files.read_csv(spark, bronze, catalog.BAR)
     else:
         rows = files.read_json_lines(spark, bronze, catalog.BRONZE_BAR, name_glob="*.ndjson")
         audited = rows.select("symbol", F.col("date").try_cast("date").alias("date"), "epoch", "open", "high", "low",
                               "close", F.coalesce("adj_close", "adjClose").alias("adj_close"), "volume", "_ingest_ts")
-    known = audited.where(F.col("symbol").isNotNull() & F.col("date").isNotNull())  # see bronze_rejects
-    return dedup.latest_bars(known).drop("_ingest_ts").withColumn("year", F.year("date"))
+    return audited.where(F.col("symbol").isNotNull() & F.col("date").isNotNull())  # see bronze_rejects
+
+
+def latest_market(rows: DataFrame) -> DataFrame:
+    return dedup.latest_bars(rows).drop("_ingest_ts").withColumn("year", F.year("date"))
+
+
+def silver_bars(spark: SparkSession, bronze: str, source_format: str = "ndjson") -> DataFrame:
+    """Bronze bars to typed, de-duplicated bars with their year."""
+    return latest_market(market_rows(spark, bronze, source_format))
 
 
 def merge_market(spark: SparkSession, bronze: str, silver: str, state_path: str,
@@ -79,11 +83,15 @@ def merge_market(spark: SparkSession, bronze: str, silver: str, state_path: str,
 def silver_observations(spark: SparkSession, bronze: str, corrected_periods: bool = False,
                         distinguish_aggregates: bool = False, source_format: str = "ndjson") -> DataFrame:
     """Bronze points of all batches, or observations as CSV, to the newest observation per key."""
+    return dedup.latest_observations(macro_rows(spark, bronze, corrected_periods, source_format), distinguish_aggregates)
+
+
+def macro_rows(spark: SparkSession, bronze: str | list[str], corrected_periods: bool = False, source_format: str = "ndjson") -> DataFrame:
+    """Bronze points, or observations as CSV, as typed rows, all versions of them."""
     if source_format == "csv":
-        return dedup.latest_observations(files.read_csv(spark, bronze, catalog.OBSERVATION), distinguish_aggregates)
+        return files.read_csv(spark, bronze, catalog.OBSERVATION)
     points = files.read_json_lines(spark, bronze, catalog.POINT, name_glob="*.ndjson")
-    rows = payloads.observations(points.where(F.col("indicator").isNotNull()), corrected_periods)
-    return dedup.latest_observations(rows, distinguish_aggregates)
+    return payloads.observations(points.where(F.col("indicator").isNotNull()), corrected_periods)
 
 
 def merge_macro(spark: SparkSession, bronze: str, silver: str, state_path: str,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import timestamp_to_epoch
 from tidelake.operators import aggregates
-from tidelake.plans import adhoc, jobs, warehouse
+from tidelake.plans import adhoc, incremental, jobs, warehouse
 from tidelake.plans.registered import feeds
 from tidelake.plans.registered.loads import LATEST_BARS, REVISIONS, full_bars, klines_of_events, revisions
 from tidelake.plans.registered.payloads import page_payloads, PAGE_OBSERVATIONS
@@ -23,16 +23,19 @@ def text(value):
 
 # --- merges -----------------------------------------------------------------------
 
-def bronze_bars(spark, sf_dir, label):
-    """Bronze lines of all trades, a directory per supplier; several trades of a day are versions of its bar."""
-    path = scratch_path(spark, label)
+def bar_lines(trades):
     line = F.to_json(F.struct(
         F.concat(F.lit("S"), "l_suppkey").alias("symbol"), text(F.to_date("l_shipdate")).alias("date"),
         (timestamp_to_epoch("l_shipdate") * 1_000_000 + F.col("l_orderkey")).alias("epoch"), F.col("l_extendedprice").alias("close"),
         F.when(F.col("l_linenumber") > 3, F.col("l_extendedprice")).alias("adjClose"),
         F.when(F.col("l_linenumber") <= 3, F.col("l_extendedprice")).alias("adj_close"), F.col("l_quantity").cast("bigint").alias("volume")))
-    lines = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), line.alias("value"))
-    writers.write_lines(lines, path, "symbol")
+    return trades.select("*", F.concat(F.lit("S"), "l_suppkey").alias("symbol"), line.alias("value"))
+
+
+def bronze_bars(spark, sf_dir, label):
+    """Bronze lines of all trades, a directory per supplier; several trades of a day are versions of its bar."""
+    path = scratch_path(spark, label)
+    writers.write_lines(bar_lines(table(spark, sf_dir, "lineitem")).select("symbol", "value"), path, "symbol")
     feeds._as_ndjson(spark, path)
     return path
 
@@ -54,6 +57,26 @@ def merged_market(spark, sf_dir):
     return catalog.read_table(spark, root, "silver.market_ohlcv").select("symbol", "date", "close", "adj_close", "year")
 
 
+@registered("merged_market_changes", BARS.replace("FROM lineitem)", "FROM lineitem WHERE l_suppkey % 10 <> 1 OR l_linenumber < 3)"))
+def merged_market_changes(spark, sf_dir):
+    """A merge by changed files: a tenth of the suppliers gets bars that were missing, another tenth loses some; no other unit is read again."""
+    path, root = scratch_path(spark, "bronze-changes"), scratch_path(spark, "lake-changes")
+    lines = bar_lines(table(spark, sf_dir, "lineitem"))
+
+    def write(rows):
+        writers.write_lines(rows.select("symbol", "value"), path, "symbol")
+        feeds._as_ndjson(spark, path)
+
+    write(lines.where("l_suppkey % 10 <> 0 OR l_linenumber < 3"))
+    target, state = incremental.target_table(spark, f"{root}/silver", incremental.MARKET), incremental.state_table(spark, f"{root}/state")
+    incremental.run(spark, incremental.MARKET, path, target, state)
+    write(lines.where("l_suppkey % 10 = 0 OR l_suppkey % 10 = 1 AND l_linenumber < 3"))
+    outcome = incremental.run(spark, incremental.MARKET, path, target, state)
+    if outcome.version is None or incremental.run(spark, incremental.MARKET, path, target, state).any:
+        raise ValueError("the second merge finds changes, the third none")
+    return target.read().select("symbol", "date", "close", "adj_close", "year")
+
+
 @registered("bars_csv", BARS.replace("arg_max(l_extendedprice, k) AS adj_close, CAST(year(CAST(l_shipdate AS DATE)) AS INT) AS year",
                                      "CAST(1 AS BIGINT) AS files"))
 def bars_csv(spark, sf_dir):
@@ -63,12 +86,14 @@ def bars_csv(spark, sf_dir):
     return files.read_csv(spark, path, catalog.BAR).select("symbol", "date", "close", F.lit(1).cast("bigint").alias("files"))
 
 
+def point_lines(points):
+    return points.select(F.concat(F.lit("batch_"), F.col("batch") % 20).alias("indicator"), F.to_json(F.struct(
+        *[c for c in points.columns if c != "batch"]), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def bronze_points(spark, sf_dir, label):
     path = scratch_path(spark, label)
-    points = payloads.observation_points(page_payloads(spark, sf_dir))
-    lines = points.select(F.concat(F.lit("batch_"), F.col("batch") % 20).alias("indicator"), F.to_json(F.struct(
-        *[c for c in points.columns if c != "batch"]), {"ignoreNullFields": "false"}).alias("value"))
-    writers.write_lines(lines, path, "indicator")
+    writers.write_lines(point_lines(payloads.observation_points(page_payloads(spark, sf_dir))), path, "indicator")
     feeds._as_ndjson(spark, path)
     return path
 
@@ -87,6 +112,21 @@ def merged_macro(spark, sf_dir):
         "indicator_id", "country_iso3", "date", "lastupdated", F.lit(True).alias("kept"))
 
 
+@registered("merged_macro_changes", NEWEST_OBSERVATIONS)
+def merged_macro_changes(spark, sf_dir):
+    """Points of half the batches first, the others as new files: the newest observation of each key, as from all at once."""
+    root = scratch_path(spark, "lake-macro-changes")
+    points = payloads.observation_points(page_payloads(spark, sf_dir))
+    path = f"{root}/bronze"
+    target, state = incremental.target_table(spark, f"{root}/silver", incremental.MACRO), incremental.state_table(spark, f"{root}/state")
+    for half in (1, 0):
+        writers.write_lines(point_lines(points.where(F.col("batch") % 2 == half)), path, "indicator")
+        feeds._as_ndjson(spark, path)
+        if not incremental.run(spark, incremental.MACRO, path, target, state).added:
+            raise ValueError("each half has new files")
+    return target.read().select("indicator_id", "country_iso3", "date", "lastupdated", F.lit(True).alias("kept"))
+
+
 @registered("published_macro", NEWEST_OBSERVATIONS)
 def published_macro(spark, sf_dir):
     """Bronze points to a published silver version, twice; readers see the newer one."""
