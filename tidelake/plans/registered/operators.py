@@ -8,6 +8,8 @@ from tidelake import functions as fn
 from tidelake.operators import aggregates, dedup, history, joins, keys, quality, series
 from tidelake.plans.registered.registry import registered, rounded
 from tidelake.plans.registered.views import sql
+from tidelake.session import scratch_path
+from tidelake.sources.versioned import VersionedTable
 from tidelake.plans.standins import TABLE_COLUMNS, TABLE_NAMES, StandIns
 from tidelake.sources.writers import with_fixed_prices
 
@@ -383,14 +385,17 @@ def first_five(spark, sf_dir):
 
 # --- history and contracts --------------------------------------------------------
 
-@registered("instrument_history", """
+HISTORY = """
     WITH daily AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, arg_max(o_orderpriority, row(o_orderdate, o_orderkey))
             AS priority FROM orders GROUP BY 1, 2),
     marked AS (SELECT *, lag(priority) OVER (PARTITION BY o_custkey ORDER BY day) AS before FROM daily),
     changed AS (SELECT * FROM marked WHERE before IS DISTINCT FROM priority)
     SELECT o_custkey, priority, day AS valid_from,
         coalesce(CAST(lead(day) OVER w - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to,
-        lead(day) OVER w IS NULL AS is_current FROM changed WINDOW w AS (PARTITION BY o_custkey ORDER BY day)""")
+        lead(day) OVER w IS NULL AS is_current FROM changed WINDOW w AS (PARTITION BY o_custkey ORDER BY day)"""
+
+
+@registered("instrument_history", HISTORY)
 def instrument_history(spark, sf_dir):
     changes = StandIns(spark, sf_dir).read("orders").select(
         "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderdate", "o_orderkey",
@@ -399,6 +404,18 @@ def instrument_history(spark, sf_dir):
                             [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
 
 
+@registered("changed_history", HISTORY)
+def changed_history(spark, sf_dir):
+    """The same history stored and brought up to date by three batches, the newest first, with corrections of days between."""
+    changes = StandIns(spark, sf_dir).read("orders").select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderdate", "o_orderkey",
+                                                            F.col("o_orderpriority").alias("priority"))
+    table = VersionedTable(spark, scratch_path(spark, "history"), [], ["o_custkey", "valid_from"])
+    since = F.col("o_orderdate") >= "1997-01-01"
+    for batch in (changes.where(since & (F.col("o_orderkey") % 3 > 0)), changes.where(~since), changes.where(since & (F.col("o_orderkey") % 3 == 0))):
+        history.apply_changes(table, batch, "o_custkey", "day", ["priority"], ["o_orderdate", "o_orderkey"])
+    return history.current_history(table)
+
+
 @registered("duplicate_keys", """
     SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
 def duplicate_keys(spark, sf_dir):

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, MapType, StringType, StructField, StructType
 
 from tidelake.session import checkpointed
 from tidelake.sources import raw
@@ -24,6 +24,17 @@ def file_of_row() -> Column:
     return F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
 
 
+def nullable(schema: DataType) -> DataType:
+    """The type with nulls allowed everywhere, as Parquet gives it back."""
+    if isinstance(schema, StructType):
+        return StructType([StructField(f.name, nullable(f.dataType)) for f in schema.fields])
+    if isinstance(schema, ArrayType):
+        return ArrayType(nullable(schema.elementType))
+    if isinstance(schema, MapType):
+        return MapType(nullable(schema.keyType), nullable(schema.valueType))
+    return schema
+
+
 class ConflictError(Exception):
     """Another writer has replaced what this write is based on."""
 
@@ -114,9 +125,11 @@ class VersionedTable:
     def read(self, version: int | None = None, files: Column | None = None) -> DataFrame:
         """Rows of a version; ``files`` is a condition on the file list that leaves out files beforehand."""
         at = self.version() if version is None else version
-        found = self.files(at)
-        paths = [r["path"] for r in (found if files is None else found.where(files)).select("path").collect()]  # names only
-        return self._rows(paths, self.schema(at))
+        return self._rows(self._paths(self.files(at), files), self.schema(at))
+
+    @staticmethod
+    def _paths(files: DataFrame, condition: Column | None = None) -> list[str]:
+        return [r["path"] for r in (files if condition is None else files.where(condition)).select("path").collect()]  # names only
 
     def _rows(self, paths: list[str], schema: StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
@@ -186,7 +199,7 @@ class VersionedTable:
     def _shaped(self, rows: DataFrame) -> tuple[DataFrame, StructType]:
         at = self.version()
         if at is None:
-            return rows, rows.schema
+            return rows, nullable(rows.schema)
         schema = self.schema(at)
         return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]), schema
 
@@ -220,22 +233,26 @@ class VersionedTable:
         """
         based_on = self.version()
         if based_on is None:
-            return self._commit(rows.schema, self._store(rows), None, "replace keys", None)
+            return self._commit(nullable(rows.schema), self._store(rows), None, "replace keys", None)
         rows, schema = self._shaped(rows)
         keys = keys.distinct()
         mine = keys.select([F.col(f"`{c}`").alias(f"__key_{c}") for c in keys.columns])
         same = lambda: self._all([F.col(f"`{c}`").eqNullSafe(F.col(f"__key_{c}")) for c in keys.columns])
-        current = self.read(based_on, bounds)
-        with_key = lambda found: found.withColumn("__path", file_of_row()).join(mine, same(), "left_semi").select(F.col("__path").alias("path")).distinct()
-        held = [r["path"] for r in with_key(current).collect()]  # names only
+
+        def holding(paths: list[str]) -> list[str]:  # names only
+            if not paths:
+                return []
+            found = self._rows(paths, schema).withColumn("__path", file_of_row()).join(mine, same(), "left_semi")
+            return [r["path"] for r in found.select(F.col("__path").alias("path")).distinct().collect()]
+
+        held = holding(self._paths(self.files(based_on), bounds))
         if not held and rows.isEmpty():
             return None
         rest = self._rows(held, schema).join(mine, same(), "left_anti")
 
         def gone(files: DataFrame) -> DataFrame:
-            new = [r["path"] for r in files.join(self.files(based_on), "path", "left_anti").select("path").collect()]
-            late = with_key(self._rows(new, schema)) if new else self.spark.createDataFrame([], "path string")
-            return files.join(late.union(self.spark.createDataFrame([(p,) for p in held], "path string")), "path", "left_semi")
+            late = holding(self._paths(files.join(self.files(based_on), "path", "left_anti")))
+            return files.join(self.spark.createDataFrame([(p,) for p in held + late], "path string"), "path", "left_semi")
         return self._commit(schema, self._store(rest.unionByName(rows)), gone, "replace keys", based_on)
 
     # --- clean-up --------------------------------------------------------------
