@@ -12,6 +12,7 @@ from py4j.protocol import Py4JJavaError
 from tidelake.operators import aggregates, dedup, series
 from tidelake.operators.quality import has_columns
 from tidelake.plans.views import Star
+from tidelake.session import checkpointed
 from tidelake.sources import catalog, files, payloads, writers
 
 STATE = "unit string, max_mtime bigint, total_size bigint, file_count bigint, done_at bigint"
@@ -189,16 +190,18 @@ def wide_lines(raw_files: DataFrame) -> DataFrame:
     """
     names = [f"f{k}" for k in range(CURVE_FIELDS)]
 
-    def fields(line):
-        row = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"escape": '"', "ignoreLeadingWhiteSpace": "true",
-                                                                         "ignoreTrailingWhiteSpace": "true"})
-        return F.array(*[row[n] for n in names])
+    def parsed(rows: DataFrame, line: str, to: str) -> DataFrame:
+        """Fields of a line as an array; parsed in a step of its own, once."""
+        row = F.from_csv(line, ", ".join(f"{n} string" for n in names), {
+            "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+        return rows.withColumn("_row", row).withColumn(to, F.array(*[f"_row.{n}" for n in names])).drop("_row", line)
 
     lines = F.filter(F.split(F.regexp_replace("raw", "^\ufeff", ""), r"\r\n|\r|\n"), lambda x: F.trim(x) != "")
-    split = raw_files.select("source_key", lines.alias("lines")).select(
-        "source_key", F.get("lines", F.lit(0)).alias("head"), F.explode(F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line"))
-    pairs = F.filter(F.arrays_zip(fields(F.col("head")).alias("name"), fields(F.col("line")).alias("value")), lambda p: p["name"].isNotNull())
-    return split.select("source_key", F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.trim(p["name"]), p["value"]))).alias("fields"))
+    heads = parsed(raw_files.select("source_key", lines.alias("lines")).withColumn("head", F.get("lines", F.lit(0))), "head", "names")
+    split = parsed(heads.select("source_key", "names", F.explode(F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line")),
+                   "line", "values")
+    pairs = F.filter(F.arrays_zip("names", "values"), lambda p: p["names"].isNotNull())
+    return split.select("source_key", F.map_from_entries(F.transform(pairs, lambda p: F.struct(F.trim(p["names"]), p["values"]))).alias("fields"))
 
 
 def load_yield_curve(spark: SparkSession, bronze: str, root: str) -> DataFrame:
@@ -206,7 +209,7 @@ def load_yield_curve(spark: SparkSession, bronze: str, root: str) -> DataFrame:
 
     Files may have any name. Every file is read by its own header, and the table has the columns of all headers, by name.
     """
-    lines = wide_lines(files.read_payloads(spark, bronze)).withColumn("Date", F.col("fields")["Date"])
+    lines = checkpointed(wide_lines(files.read_payloads(spark, bronze)).withColumn("Date", F.col("fields")["Date"]))
     date = F.coalesce(*[F.try_to_date("Date", f) for f in ("MM/dd/yyyy", "yyyy-MM-dd")])
     headers = lines.select(F.explode(F.map_keys("fields")).alias("c")).where("c <> 'Date'").distinct()
     maturities = sorted((r["c"] for r in headers.collect()), key=_maturity)  # at most CURVE_FIELDS to a header

@@ -1,7 +1,8 @@
 """Jobs from raw payload files to typed silver, over documents that Spark renders from the test tables.
 
-Every document is written as a file of its own, indented over many lines, under the name that raw stores use; some are
-torn or hold nothing. The DuckDB counterparts compute silver and rejects from the tables.
+Every document is written as a file of its own, indented over many lines, under the name that raw stores use; one of twenty is
+torn, another holds nothing. Documents are keyed by ids whose number grows with the tables, so each stays small. The
+DuckDB counterparts compute silver and rejects from the tables.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from tidelake.functions import timestamp_to_epoch
 from tidelake.plans import jobs
 from tidelake.plans.registered.registry import registered
 from tidelake.plans.standins import StandIns, table
-from tidelake.session import scratch_path
+from tidelake.session import checkpointed, scratch_path
 from tidelake.sources import catalog, files, writers
 
 
@@ -27,9 +28,9 @@ def text(value: Column | str) -> Column:
 def run(spark, source, documents, key, name):
     """Write one file per document ``(key, number, raw)``; run the source's job; its silver table."""
     bronze, root = scratch_path(spark, f"bronze-{name}"), scratch_path(spark, f"lake-{name}")
-    # documents of a key with the remainder 3 of 4 are cut short, those with 2 are empty
-    broken = documents.withColumn("raw", F.when(F.col("number") % 4 == 3, F.substring("raw", 1, 30)).when(
-        F.col("number") % 4 == 2, F.lit("{}" if source != "binance" else "[]")).otherwise(F.col("raw")))
+    # documents whose number has the remainder 19 of 20 are cut short, those with 18 are empty
+    broken = documents.withColumn("raw", F.when(F.col("number") % 20 == 19, F.substring("raw", 1, 30)).when(
+        F.col("number") % 20 == 18, F.lit("{}" if source != "binance" else "[]")).otherwise(F.col("raw")))
     writers.write_raw(broken, bronze, key, "raw", "number")
     rejected = jobs.load_feed(spark, source, bronze, root)
     return catalog.read_table(spark, root, jobs.FEEDS[source].table), rejected
@@ -46,14 +47,14 @@ def charts(spark, sf_dir):
                      F.transform("bars", lambda b: F.when(b["price"] > 50_000, 1e20).otherwise(7.0)).alias("volume"))
     result = F.struct(F.struct(text("l_suppkey").alias("symbol")).alias("meta"), F.col("bars.at").alias("timestamp"),
                       F.struct(F.array(quote).alias("quote")).alias("indicators"))
-    return bars.select(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), (F.col("l_suppkey") % 8).alias("number"),
+    return bars.select(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), F.col("l_suppkey").alias("number"),
                        pretty(F.struct(F.array(result).alias("result")).alias("chart")).alias("raw"))
 
 
 @registered("feed_charts", """
     SELECT 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS close,
         CAST(CASE WHEN max(l_extendedprice) > 50000 THEN 0 ELSE 7 END AS BIGINT) AS volume
-    FROM lineitem WHERE l_suppkey % 4 < 2 GROUP BY ALL""")
+    FROM lineitem WHERE l_suppkey % 20 < 18 GROUP BY ALL""")
 def feed_charts(spark, sf_dir):
     """A volume beyond 64 bits becomes 0; it does not end the job."""
     rows, _ = run(spark, "yahoo", charts(spark, sf_dir), "symbol", "charts")
@@ -61,42 +62,42 @@ def feed_charts(spark, sf_dir):
 
 
 @registered("feed_klines", """
-    SELECT 'C' || (user_id % 50) AS symbol, CAST(ts AS DATE) AS date, arg_max(value, row(epoch_us(ts) // 1000, value)) AS close
-    FROM (SELECT * FROM events WHERE user_id % 50 % 4 < 2) GROUP BY ALL""")
+    SELECT 'C' || user_id AS symbol, CAST(ts AS DATE) AS date, arg_max(value, row(epoch_us(ts) // 1000, value)) AS close
+    FROM (SELECT * FROM events WHERE user_id % 20 < 18) GROUP BY ALL""")
 def feed_klines(spark, sf_dir):
-    """Several pages of arrays per symbol, one file each; the newest line of a day stays."""
+    """A page of arrays per symbol and month, one file each; the newest line of a day stays."""
     at = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("ts"))
     line = [text(at), *[text("value")] * 4, F.lit("1"), F.lit("0"), F.lit("0"), F.lit("3")]
-    pages = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 50).alias("k"), F.pmod(F.hash("event_id"), F.lit(3)).alias("page")).agg(
+    pages = table(spark, sf_dir, "events").groupBy("user_id", F.date_format("ts", "yyyyMM").cast("bigint").alias("page")).agg(
         F.to_json(F.collect_list(F.array(*line)), {"pretty": "true"}).alias("raw"))
-    documents = pages.select(F.concat(F.lit("C"), "k").alias("symbol"), (F.col("page") * 4 + F.col("k") % 4).alias("number"), "raw")
+    documents = pages.select(F.concat(F.lit("C"), "user_id").alias("symbol"), (F.col("page") * 20 + F.col("user_id") % 20).alias("number"), "raw")
     rows, _ = run(spark, "binance", documents, "symbol", "klines")
     return rows.select("symbol", "date", "close")
 
 
 @registered("feed_series", """
-    SELECT 'P' || (o_orderkey % 20) AS indicator_id, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS value
-    FROM orders WHERE o_orderkey % 20 % 4 < 2 GROUP BY ALL""")
+    SELECT 'P' || (o_orderkey // 100) AS indicator_id, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS value
+    FROM orders WHERE o_orderkey // 100 % 20 < 18 GROUP BY ALL""")
 def feed_series(spark, sf_dir):
     day = F.to_date("o_orderdate")
-    daily = table(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 20).alias("k"), day.alias("day")).agg(
+    daily = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 100).alias("k"), day.alias("day")).agg(
         F.max("o_totalprice").alias("value"))
     documents = daily.groupBy("k").agg(F.collect_list(F.struct(text("day").alias("date"), text("value").alias("value"))).alias("observations"))
-    rows, _ = run(spark, "fred", documents.select(F.concat(F.lit("P"), "k").alias("series"), (F.col("k") % 4).alias("number"),
+    rows, _ = run(spark, "fred", documents.select(F.concat(F.lit("P"), "k").alias("series"), F.col("k").alias("number"),
                                                   pretty("observations").alias("raw")), "series", "series")
     return rows
 
 
 @registered("feed_filings", """
-    SELECT 'F' || (o_custkey % 40) AS symbol, CAST(o_orderkey AS VARCHAR) AS accession_number, CAST(o_orderdate AS DATE) AS filing_date,
-        o_orderstatus AS form_type, 'https://www.sec.gov/Archives/edgar/data/' || (o_custkey % 40 + 1) || '/' || o_orderkey || '/a.htm' AS url
-    FROM orders WHERE o_custkey % 40 % 4 < 2""")
+    SELECT 'F' || o_custkey AS symbol, CAST(o_orderkey AS VARCHAR) AS accession_number, CAST(o_orderdate AS DATE) AS filing_date,
+        o_orderstatus AS form_type, 'https://www.sec.gov/Archives/edgar/data/' || (o_custkey + 1) || '/' || o_orderkey || '/a.htm' AS url
+    FROM orders WHERE o_custkey % 20 < 18""")
 def feed_filings(spark, sf_dir):
-    filed = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 40).alias("k")).agg(F.collect_list(F.struct(
+    filed = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.collect_list(F.struct(
         text("o_orderkey").alias("number"), text(F.to_date("o_orderdate")).alias("day"), "o_orderstatus")).alias("f"))
     recent = F.struct(F.col("f.number").alias("accessionNumber"), F.col("f.day").alias("filingDate"), F.col("f.o_orderstatus").alias("form"),
                       F.transform("f", lambda _: F.lit("a.htm")).alias("primaryDocument"))
-    documents = filed.select(F.concat(F.lit("F"), "k").alias("symbol"), (F.col("k") % 4).alias("number"), pretty(
+    documents = filed.select(F.concat(F.lit("F"), "k").alias("symbol"), F.col("k").alias("number"), pretty(
         F.lpad(text(F.col("k") + 1), 10, "0").alias("cik"), F.lit("n").alias("name"), F.struct(recent.alias("recent")).alias("filings")).alias("raw"))
     rows, _ = run(spark, "sec", documents, "symbol", "filings")
     return rows.drop("entity_name")
@@ -104,31 +105,35 @@ def feed_filings(spark, sf_dir):
 
 @registered("feed_spot", """
     SELECT c_name AS base, c_mktsegment AS currency, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DECIMAL(38,18)) AS amount
-    FROM customer WHERE c_custkey % 30 = 0 AND c_custkey // 30 % 4 < 2""")
+    FROM customer WHERE c_custkey % 20 < 18""")
 def feed_spot(spark, sf_dir):
-    """A document for every thirtieth customer; the others hold quotes of other sources."""
-    documents = table(spark, sf_dir, "customer").where("c_custkey % 30 = 0").select(
-        F.col("c_name").alias("symbol"), (F.floor(F.col("c_custkey") / 30) % 4).alias("number"), pretty(F.struct(
+    """A document for every customer."""
+    documents = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("symbol"), F.col("c_custkey").alias("number"), pretty(F.struct(
             text(F.col("c_acctbal").cast("decimal(18,2)")).alias("amount"), F.col("c_name").alias("base"),
             F.col("c_mktsegment").alias("currency")).alias("data")).alias("raw"))
     rows, _ = run(spark, "coinbase", documents, "symbol", "spot")
     return rows
 
 
+def quote_documents(spark, sf_dir):
+    """Quote lines of a hundred parts to a file, as several sources send them."""
+    lines = table(spark, sf_dir, "part").groupBy(F.floor(F.col("p_partkey") / 100).alias("k")).agg(F.array_join(F.collect_list(
+        F.format_string('v_sh%d="1~%s~2";', "p_partkey", "p_name")), "\n").alias("raw"))
+    return lines.select(F.concat(F.lit("Q"), "k").alias("symbol"), F.col("k").alias("number"),
+                        F.when(F.col("k") % 20 == 19, "").otherwise(F.col("raw")).alias("raw"))
+
+
 @registered("feed_quotes", """
-    SELECT 'sh' || p_partkey AS symbol, p_name AS name FROM part WHERE p_partkey % 100 % 4 < 2""")
+    SELECT 'sh' || p_partkey AS symbol, p_name AS name FROM part WHERE p_partkey // 100 % 20 < 18""")
 def feed_quotes(spark, sf_dir):
-    lines = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 100).alias("k")).agg(F.array_join(F.collect_list(
-        F.format_string('v_sh%d="1~%s~2";', "p_partkey", "p_name")), "\n").alias("raw"))
-    documents = lines.select(F.concat(F.lit("Q"), "k").alias("symbol"), (F.col("k") % 4).alias("number"),
-                             F.when(F.col("k") % 4 == 3, "").otherwise(F.col("raw")).alias("raw"))
-    rows, _ = run(spark, "tencent", documents, "symbol", "quotes")
+    rows, _ = run(spark, "tencent", quote_documents(spark, sf_dir), "symbol", "quotes")
     return rows.select("symbol", F.get("fields", F.lit(1)).alias("name"))
 
 
 @registered("feed_rejects", """
-    SELECT 'yahoo' AS source, 'S' || l_suppkey AS key, CASE l_suppkey % 4 WHEN 3 THEN 'unreadable' ELSE 'no records' END AS reason,
-        true AS complete FROM (SELECT DISTINCT l_suppkey FROM lineitem) WHERE l_suppkey % 4 >= 2""")
+    SELECT 'yahoo' AS source, 'S' || l_suppkey AS key, CASE l_suppkey % 20 WHEN 19 THEN 'unreadable' ELSE 'no records' END AS reason,
+        true AS complete FROM (SELECT DISTINCT l_suppkey FROM lineitem) WHERE l_suppkey % 20 >= 18""")
 def feed_rejects(spark, sf_dir):
     """Torn and empty charts by key; accepted and rejected ones together are all."""
     documents = charts(spark, sf_dir)
@@ -159,7 +164,7 @@ def feed_yield_curve(spark, sf_dir):
         for layout in layouts]).alias("lines"))
     heads = F.array(*[F.lit(",".join(f'"{c}"' for c in layout)) for layout in layouts])
     bad = F.lit("n/a" + "," * len(names))
-    texts = rows.groupBy("month", "layout").agg(F.collect_list(F.get("lines", F.col("layout"))).alias("lines"))
+    texts = checkpointed(rows).groupBy("month", "layout").agg(F.collect_list(F.get("lines", F.col("layout"))).alias("lines"))
     writers.write_raw(texts.select("month", F.concat(F.get(heads, F.col("layout")), F.lit("\r\n"), F.array_join("lines", "\r\n"), F.when(
         F.col("layout") == 0, F.concat(F.lit("\r\n\r\n"), bad)).otherwise("")).alias("value")), bronze, "month")
     if jobs.load_yield_curve(spark, bronze, root).count() != texts.where("layout = 0").count():
