@@ -157,6 +157,10 @@ FEEDS: Mapping[str, Feed] = {
     "sec": Feed("filings", "symbol", "silver.filings", payloads.filings, ("symbol", "accession_number")),
     "coinbase": Feed("spot", "symbol", "silver.spot_quotes", payloads.spot_quotes, ("base", "currency")),
     "tencent": Feed("quotes", "symbol", "silver.quotes", payloads.quote_lines, ("symbol",)),
+    # sources that send the layouts of others, each with a silver table of its own
+    **{source: Feed("chart", "symbol", f"silver.{source}_ohlcv", payloads.chart_bars, ("symbol", "date"), ("epoch",), "date")
+       for source in catalog.CHART_SOURCES},
+    **{source: Feed("quotes", "symbol", f"silver.{source}_quotes", payloads.quote_lines, ("symbol",)) for source in catalog.QUOTE_SOURCES},
 }
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tidelake.functions import timestamp_to_epoch
+from tidelake.operators import aggregates
 from tidelake.plans import jobs
 from tidelake.plans.registered.registry import registered
 from tidelake.plans.standins import StandIns, table
@@ -131,6 +132,27 @@ def feed_quotes(spark, sf_dir):
     return rows.select("symbol", F.get("fields", F.lit(1)).alias("name"))
 
 
+@registered("feed_other_charts", """
+    SELECT source, 'S' || l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS close
+    FROM lineitem, (VALUES ('cboe'), ('investing')) s(source) WHERE l_suppkey % 20 < 18 GROUP BY ALL""")
+def feed_other_charts(spark, sf_dir):
+    """Two more sources of charts, each with a table of its own."""
+    documents = checkpointed(charts(spark, sf_dir))
+    return aggregates.union_all([run(spark, source, documents, "symbol", source)[0].select(
+        F.lit(source).alias("source"), "symbol", "date", "close") for source in catalog.CHART_SOURCES])
+
+
+@registered("feed_other_quotes", """
+    SELECT source, 'sh' || p_partkey AS symbol, p_name AS name FROM part, (VALUES ('sina'), ('eastmoney'), ('baostock')) s(source)
+    WHERE p_partkey // 100 % 20 < 18""")
+def feed_other_quotes(spark, sf_dir):
+    """Three more sources of quote lines; the first of them spells its lines in its own way."""
+    documents = checkpointed(quote_documents(spark, sf_dir))
+    own = documents.withColumn("raw", F.regexp_replace("raw", 'v_sh(\\d+)="1~(.*)~2";', 'var hq_str_sh$1="1,$2,2";'))
+    return aggregates.union_all([run(spark, source, own if source == "sina" else documents, "symbol", source)[0].select(
+        F.lit(source).alias("source"), "symbol", F.get("fields", F.lit(1)).alias("name")) for source in catalog.QUOTE_SOURCES])
+
+
 @registered("feed_rejects", """
     SELECT 'yahoo' AS source, 'S' || l_suppkey AS key, CASE l_suppkey % 20 WHEN 19 THEN 'unreadable' ELSE 'no records' END AS reason,
         true AS complete FROM (SELECT DISTINCT l_suppkey FROM lineitem) WHERE l_suppkey % 20 >= 18""")

@@ -14,6 +14,10 @@ from tidelake.sources import files
 SOURCES = ["yahoo", "binance", "coinbase", "defillama", "worldbank", "treasury", "sec", "fred", "cboe", "investing",
            "tencent", "sina", "eastmoney", "baostock", "imf", "oecd", "calcfi", "fdic", "eia", "bls", "bea", "gmd"]
 
+#: Sources whose payloads are charts, or quote lines, as those of the first source of that layout.
+CHART_SOURCES = ["cboe", "investing"]
+QUOTE_SOURCES = ["sina", "eastmoney", "baostock"]
+
 BAR = ("symbol string, date date, epoch bigint, open double, high double, low double, close double, "
        "adj_close double, volume bigint")
 BRONZE_BAR = ("symbol string, date string, epoch bigint, open double, high double, low double, close double, "
@@ -75,6 +79,8 @@ TABLES: Mapping[str, Entry] = {
     "silver.filings": Entry("parquet", FILING, "silver/filings"),
     "silver.spot_quotes": Entry("parquet", SPOT_QUOTE, "silver/spot_quotes"),
     "silver.quotes": Entry("parquet", QUOTE, "silver/quotes"),
+    **{f"silver.{s}_ohlcv": Entry("parquet", BAR + ", year int", f"silver/market/{s}") for s in CHART_SOURCES},
+    **{f"silver.{s}_quotes": Entry("parquet", QUOTE, f"silver/market/{s}_quotes") for s in QUOTE_SOURCES},
     "silver.equity_master": Entry("parquet", EQUITY_MASTER, "silver/master/equity"),
     "gold.positions": Entry("csv", POSITION, "gold/positions"),
     "gold.yahoo_summary": Entry("parquet", SUMMARY, "gold/yahoo_summary"),
