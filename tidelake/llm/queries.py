@@ -87,7 +87,7 @@ def op9_best_fit_packing(spark, sf_dir):
 def op10_warc_derivatives(spark, sf_dir):
     out = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
     return out.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest",
-                      "content_length", F.to_json("headers").alias("headers"), "block")
+                      "content_length", F.to_json(F.map_from_entries("headers")).alias("headers"), F.col("block").cast("string").alias("block"))
 
 
 @registered("op6_quality_classifier")
