@@ -11,7 +11,8 @@ from tidelake.functions import timestamp_to_epoch
 from tidelake.operators import dedup
 from tidelake.plans.registered.registry import registered
 from tidelake.plans.standins import StandIns, table
-from tidelake.sources import payloads
+from tidelake.session import scratch_path
+from tidelake.sources import files, payloads, writers
 
 HOURS_16 = 57_600
 DAY = 86_400
@@ -25,6 +26,12 @@ def null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
+def spread(rows):
+    """Rows dealt to all cores before documents are rendered from them, which costs far more than to move the few columns:
+    a table in one small file would make a single task."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 # --- charts ---------------------------------------------------------------------
 
 def chart_payloads(spark, sf_dir):
@@ -40,7 +47,9 @@ def chart_payloads(spark, sf_dir):
     result = F.struct(F.struct(F.lit("ignored").alias("symbol")).alias("meta"),
                       F.array(start, start + HOURS_16 - 7_200 + DAY, start + 2 * DAY).alias("timestamp"),
                       indicators.alias("indicators"))
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate",
+                                                    "l_extendedprice", "l_quantity")
+    return spread(lines).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("symbol"), "l_returnflag",
         json(F.struct(F.array(result).alias("result")).alias("chart")).alias("raw"))
 
@@ -71,7 +80,7 @@ def chart_rejects(spark, sf_dir):
 
 def page_payloads(spark, sf_dir):
     """One page per order, batched by customer; the page of a pending order has no records."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice"))
     text = F.col("o_orderkey").cast("string")
     meta = json(F.col("o_orderkey").alias("page"), F.lit(1).alias("pages"), F.lit(2).alias("per_page"),
                 F.lit(2).alias("total"), F.col("o_orderstatus").alias("sourceid"), text.alias("lastupdated"))
@@ -120,8 +129,10 @@ def page_metadata(spark, sf_dir):
     SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY indicator_id, country_iso3, date ORDER BY
         lastupdated DESC, source_id DESC, country_id DESC, value DESC NULLS LAST) AS rn FROM ({PAGE_OBSERVATIONS})) WHERE rn = 1""")
 def macro_silver(spark, sf_dir):
-    """Pages to the de-duplicated silver table in one plan."""
-    rows = payloads.observations(payloads.observation_points(page_payloads(spark, sf_dir)))
+    """Stored pages, which are rendered once and read for their stamps and their records, to the de-duplicated silver table."""
+    path = scratch_path(spark, "pages")
+    writers.write_parquet(page_payloads(spark, sf_dir), path)
+    rows = payloads.observations(payloads.observation_points(files.read_parquet(spark, path)))
     return dedup.keep_latest(rows, ["indicator_id", "country_iso3", "date"], [
         F.col(c).desc_nulls_last() for c in ("lastupdated", "source_id", "country_id", "value")])
 
