@@ -38,19 +38,26 @@ def table(spark, tmp_path):
 BASE = [("x", 5, 1, "p", 1), ("x", 10, 1, "p", 1), ("x", 15, 1, "q", 1), ("x", 20, 1, "p", 1), ("y", 3, 1, "p", None)]
 
 
-@pytest.mark.parametrize("late", [
+LATE = [
     [("x", 7, 2, "q", 1)],  # splits a version, whose later confirmation remains
     [("x", 12, 2, "q", 1)],  # brings the next one forward
     [("x", 15, 2, "p", 1)],  # a correction joins three versions
     [("x", 1, 2, "p", 1), ("x", 30, 2, "q", 9)],  # before the first and after the last
     [("x", 5, 0, "zz", 1)],  # older than what the day has
     [("x", 5, 2, None, None), ("x", 10, 2, None, None)],  # a version of no attributes replaces one
-    [("z", 1, 1, "p", 1), (None, 1, 1, "p", 1), ("x", None, 1, "p", 1)]])
-def test_late_changes(spark, table, late):
-    apply(table, spark, BASE)
-    assert stored(table) == at_once(spark, BASE)
+    [("z", 1, 1, "p", 1), (None, 1, 1, "p", 1), ("x", None, 1, "p", 1)]]
+
+
+def test_late_changes(spark, table):
+    def keyed(rows, case):
+        return [(k and f"{k}{case}", *rest) for k, *rest in rows]
+
+    base = [r for case in range(len(LATE)) for r in keyed(BASE, case)]
+    apply(table, spark, base)
+    assert stored(table) == at_once(spark, base)
+    late = [r for case, rows in enumerate(LATE) for r in keyed(rows, case)]
     apply(table, spark, late)
-    assert stored(table) == at_once(spark, BASE + late)
+    assert stored(table) == at_once(spark, base + late)
 
 
 def test_any_order_of_batches(spark, table):
