@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelake import functions as fn
-from tidelake.operators import aggregates, dedup, history, joins, keys, quality, series
+from tidelake.operators import aggregates, dedup, history, joins, keys, quality, reconcile, series
 from tidelake.plans.registered.registry import registered, rounded
 from tidelake.plans.registered.views import sql
 from tidelake.session import scratch_path
@@ -437,3 +437,21 @@ def orphan_keys(spark, sf_dir):
     UNION ALL SELECT 'l_shipdate', count(*) FILTER (l_shipdate IS NULL) FROM lineitem""")
 def null_keys(spark, sf_dir):
     return quality.null_keys(StandIns(spark, sf_dir).read("lineitem"), ["l_orderkey", "l_shipdate"])
+
+
+@registered("located_differences", """
+    WITH copy AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 500 = 7 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity
+        FROM lineitem WHERE l_orderkey % 500 <> 8 UNION ALL SELECT -1, 1, 1)
+    SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, CASE WHEN b.n IS NULL THEN 'missing' WHEN a.n IS NULL THEN 'extra' ELSE 'changed' END AS status,
+        coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows
+    FROM (SELECT l_orderkey, count(*) AS n, list(row(l_linenumber, l_quantity) ORDER BY row(l_linenumber, l_quantity)) AS x FROM lineitem GROUP BY 1) a
+    FULL JOIN (SELECT l_orderkey, count(*) AS n, list(row(l_linenumber, l_quantity) ORDER BY row(l_linenumber, l_quantity)) AS x FROM copy GROUP BY 1) b
+        ON a.l_orderkey = b.l_orderkey WHERE a.x IS DISTINCT FROM b.x""")
+def located_differences(spark, sf_dir):
+    """Line items against a copy with changed, dropped and added ones: the orders that differ."""
+    lines = StandIns(spark, sf_dir).read("lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"))
+    changed = lines.where("l_orderkey % 500 <> 8").withColumn("l_quantity", F.when(
+        F.col("l_orderkey") % 500 == 7, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    extra = lines.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("l_orderkey"), F.lit(1).cast(lines.schema["l_linenumber"].dataType).alias(
+        "l_linenumber"), F.lit(1.0).alias("l_quantity"))
+    return reconcile.differences(lines, changed.unionByName(extra), ["l_orderkey"])
