@@ -108,26 +108,25 @@ def op1_ngram_join(spark, sf_dir):
 @registered("op2_line_dedup", r"""
     WITH every AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS idx FROM documents),
-    lines AS (SELECT doc_id, idx, CAST('0x' || substr(md5(trim(line, ' ' || chr(9) || chr(13))), 1, 15) AS BIGINT) AS h,
-                     row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS pos
-              FROM every WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''),
-    grams AS (SELECT *, max(pos) OVER (PARTITION BY doc_id) AS last FROM (
-                  SELECT doc_id, pos, h, lead(h) OVER (PARTITION BY doc_id ORDER BY pos) AS h2 FROM lines) WHERE h2 IS NOT NULL),
-    windows AS (SELECT s.doc_id, s.pos AS start, g.pos, g.h, g.h2,
-                       row_number() OVER (PARTITION BY s.doc_id, s.pos ORDER BY g.h, g.h2, g.pos DESC) AS rank
+    bare AS (SELECT doc_id, idx, trim(line, ' ' || chr(9) || chr(13)) AS line FROM every),
+    lines AS (SELECT doc_id, idx, CAST('0x' || substr(md5(line), 1, 15) AS BIGINT) AS h, count(*) OVER (PARTITION BY doc_id) AS n,
+                     len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words, row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS pos
+              FROM bare WHERE line <> ''),
+    near AS (SELECT *, lag(h) OVER w AS h0, lead(h) OVER w AS h2, lead(h, 2) OVER w AS h3, lead(words) OVER w AS words2 FROM lines
+             WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+    grams AS (SELECT * FROM near WHERE h2 IS NOT NULL),
+    windows AS (SELECT s.doc_id, g.pos, row_number() OVER (PARTITION BY s.doc_id, s.pos ORDER BY g.h, g.h2, g.pos DESC) AS rank
                 FROM grams s JOIN grams g ON g.doc_id = s.doc_id AND g.pos BETWEEN s.pos AND s.pos + 1
-                WHERE s.pos < s.last OR s.last = 0),
-    chosen AS (SELECT DISTINCT doc_id, pos, h, h2 FROM windows WHERE rank = 1),
-    firsts AS (SELECT h, h2, min(row(doc_id, pos)) AS f FROM chosen GROUP BY h, h2),
-    seeds AS (SELECT c.doc_id, c.pos, f[1] AS first, c.pos - f[2] AS shift FROM chosen c JOIN firsts USING (h, h2)
-              WHERE row(c.doc_id, c.pos) > f),
-    equal AS (SELECT d.doc_id, d.first, d.shift, b.pos, b.idx,
-                     b.pos - row_number() OVER (PARTITION BY d.doc_id, d.first, d.shift ORDER BY b.pos) AS island
-              FROM (SELECT DISTINCT doc_id, first, shift FROM seeds) d
-              JOIN lines b ON b.doc_id = d.doc_id JOIN lines a ON a.doc_id = d.first AND a.pos = b.pos - d.shift AND a.h = b.h),
-    dead AS (SELECT DISTINCT e.doc_id, e.idx FROM equal e WHERE (e.doc_id, e.first, e.shift, e.island) IN (
-                 SELECT (x.doc_id, x.first, x.shift, x.island) FROM equal x JOIN seeds s
-                 ON s.doc_id = x.doc_id AND s.first = x.first AND s.shift = x.shift AND s.pos = x.pos)),
+                WHERE s.pos < s.n - 2 OR s.pos = 0),
+    chosen AS (SELECT * FROM grams WHERE (doc_id, pos) IN (SELECT (doc_id, pos) FROM windows WHERE rank = 1)),
+    keys AS (SELECT doc_id, pos, 'pair' AS kind, [h, h2] AS run, pos AS low, pos + 1 AS high FROM chosen
+             UNION ALL SELECT doc_id, pos, 'before', [h0, h, h2], pos - 1, pos - 1 FROM chosen WHERE h0 IS NOT NULL
+             UNION ALL SELECT doc_id, pos, 'after', [h, h2, h3], pos + 2, pos + 2 FROM chosen WHERE h3 IS NOT NULL
+             UNION ALL SELECT doc_id, pos, 'long', [h], pos, pos FROM near WHERE words >= 50 OR n = 1
+             UNION ALL SELECT doc_id, pos, 'long', [h, h2], pos, pos + 1 FROM grams WHERE words + words2 >= 50),
+    ranked AS (SELECT *, min(row(doc_id, pos)) OVER (PARTITION BY kind, run) AS first FROM keys),
+    dead AS (SELECT DISTINCT l.doc_id, l.idx FROM ranked r JOIN lines l ON l.doc_id = r.doc_id AND l.pos BETWEEN r.low AND r.high
+             WHERE row(r.doc_id, r.pos) > r.first),
     kept AS (SELECT e.doc_id, count(*) AS n_lines, count(d.idx) AS n_deleted,
                     string_agg(e.line, chr(10) ORDER BY e.idx) FILTER (d.idx IS NULL) AS rest
              FROM every e LEFT JOIN dead d ON d.doc_id = e.doc_id AND d.idx = e.idx GROUP BY e.doc_id)
