@@ -45,6 +45,18 @@ def test_equals_tiktoken_and_decodes(library):
     assert [encoder.decode(x).decode() for x in found] == rows
 
 
+def test_long_pieces_of_varied_letters(library):
+    """Pieces of random letters and signs, one of a hundred thousand."""
+    rng = random.Random(3)
+    rows = ["".join(rng.choices(letters, k=n)) for letters in ("abcdefghijklmnopqrstuvwxyz", "aab", "!#$%&()*+,-./", "eéßтест中")
+            for n in (65, 66, 200, 3000)] + ["".join(rng.choices("etaoinshrdlu", k=100_000))]
+    encoder = bpe.Encoder(bpe.read_ranks(RANKS))
+    want = [library.encode_ordinary(t) for t in rows]
+    assert [encoder.long_piece(encoder.merges.bytes_ids[np.frombuffer(t.encode(), np.uint8)]).tolist() for t in rows] == want
+    encoder.final[:] = False  # one merge at a time, as a vocabulary in any order needs
+    assert [encoder.long_piece(encoder.merges.bytes_ids[np.frombuffer(t.encode(), np.uint8)]).tolist() for t in rows[:16]] == want[:16]
+
+
 def test_equals_tokenizers():
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     library.encode_special_tokens = True

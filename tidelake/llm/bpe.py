@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ from tidelake.llm.textbytes import Powers, byte_values, segment_hashes, slices
 
 NONE = np.uint32(0xFFFFFFFF)
 SLICE = 1 << 21
-#: Longer pieces merge all occurrences of their minimum-rank pair in a round where that gives the same ids (see Encoder.final).
+#: Rows of longer pieces are kept apart, since a matrix costs the square of its width (see Encoder.long_piece).
 WIDE = 64
 #: Cells of one padded matrix, and pieces whose ids a task remembers before it starts anew.
 CELLS = 1 << 20
@@ -139,6 +140,7 @@ class Encoder:
         for part in (merges.left, merges.right):
             np.minimum.at(least, part, merges.rank)
         self.final = least[self.by_rank] > np.arange(len(self.by_rank))
+        self.lookup: dict[int, int] = {}
         self.classes = code_point_classes()
         self.values, self.powers = byte_values(False), Powers()
         self.forget()
@@ -185,22 +187,77 @@ class Encoder:
         return out, (out != NONE).sum(axis=1)
 
     def long_piece(self, ids: np.ndarray) -> np.ndarray:
-        """Encode one long piece; all occurrences of the minimum-rank pair merge at once where none can make a better pair."""
-        while len(ids) > 1:
-            rank = self.pairs.ranks(ids[:-1], ids[1:])
-            least = rank.min()
-            if least == NONE:
-                break
-            at = np.flatnonzero(rank == least)
+        """Encode one long piece: its ranks by place, and the places of each rank; a merge renews only the ranks beside it.
+
+        All occurrences of the minimum rank merge at once where none can make a better pair, else one after another. Work grows with
+        the length and, for each rank that occurs, with one round.
+        """
+        n = len(ids)
+        after, before = np.arange(1, n + 1), np.arange(-1, n)  # of the merged ids that are left; n and -1 are the ends
+        rank, left = np.full(n, NONE, np.uint32), np.ones(n, bool)
+        places: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
+
+        def renew(at: np.ndarray) -> None:
+            rank[at] = found = self.pairs.ranks(ids[at], ids[after[at]])
+            at, found = at[found != NONE], found[found != NONE]
+            order = np.argsort(found, kind="stable")
+            at, found = at[order], found[order]
+            first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(at) else at
+            for value, low, high in zip(found[first].tolist(), first.tolist(), [*first[1:].tolist(), len(at)], strict=False):
+                if value not in places:
+                    places[value] = []
+                    heapq.heappush(waiting, value)
+                places[value].append(at[low:high])
+
+        renew(np.arange(n - 1))
+        while waiting:
+            least = heapq.heappop(waiting)
+            at = np.unique(np.concatenate(places.pop(least)))
+            at = at[rank[at] == least]
+            if not len(at):
+                continue
             if self.final[least]:
-                run = np.r_[True, np.diff(at) > 1]
-                first = at[np.flatnonzero(run)][np.cumsum(run) - 1]
-                at = at[(at - first) % 2 == 0]  # of overlapping pairs, every other one from the left
+                run = np.r_[True, after[at[:-1]] != at[1:]]
+                place = np.arange(len(at))
+                at = at[(place - place[run][np.cumsum(run) - 1]) % 2 == 0]  # of overlapping pairs, every other one from the left
             else:
-                at = at[:1]
-            ids[at] = self.by_rank[least]
-            ids = np.delete(ids, at + 1)
-        return ids
+                renew(self.one_by_one(at, least, ids, rank, after, before, left))
+                continue
+            gone = after[at]
+            ids[at], rank[gone], left[gone] = self.by_rank[least], NONE, False
+            after[at] = after[gone]
+            before[after[at]] = at
+            rank[at] = NONE
+            beside = np.unique(np.concatenate([at, before[at]]))
+            renew(beside[(beside >= 0) & (after[np.maximum(beside, 0)] < n)])
+        return ids[left]
+
+    def one_by_one(self, at: np.ndarray, least: int, ids: np.ndarray, rank: np.ndarray, after: np.ndarray, before: np.ndarray,
+                   left: np.ndarray) -> np.ndarray:
+        """Merge the places of a rank from the left, better pairs that come up first; returns the places whose rank to renew."""
+        if not self.lookup:
+            keys = (self.merges.left.astype(np.uint64) << np.uint64(32) | self.merges.right).tolist()
+            self.lookup = dict(zip(keys, self.merges.rank.tolist(), strict=True))
+        none, n, later = int(NONE), len(ids), set()
+        todo = [(least, place) for place in at.tolist()]
+        while todo:
+            value, place = heapq.heappop(todo)
+            if not left[place] or rank[place] != value:
+                continue
+            gone, end = int(after[place]), int(after[after[place]])
+            ids[place], rank[gone], left[gone], after[place], before[end] = self.by_rank[value], NONE, False, end, place
+            rank[place] = NONE
+            for one in (int(before[place]), place):
+                if one < 0 or after[one] == n:
+                    continue
+                rank[one] = found = self.lookup.get(int(ids[one]) << 32 | int(ids[after[one]]), none)
+                if found <= least:
+                    heapq.heappush(todo, (found, one))
+                elif found != none:
+                    later.add(one)
+        found = np.array(sorted(later), np.int64)
+        return found[left[found] & (after[found] < n)]
 
     def pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces: all ids, and the number of each piece's."""
