@@ -1,4 +1,7 @@
+import math
+import random
 import re
+from collections import defaultdict
 
 from tidelake.llm import url_filter
 
@@ -46,3 +49,49 @@ def test_labelled_templates_decide_the_rest(spark):
                         .alias("template")).selectExpr("*", "CAST(NULL AS STRING) AS label")
     merged = {tuple(r.t) for r in url_filter.tree(rows).where("host = 'b.net'").collect()}
     assert merged == {("de", "{n}"), ("fr", "{n}"), ("user", "{*}", "home")}
+
+
+def plain_tree(rows, spread):
+    """The tree by dictionaries: rows (host, template, label) to the merged template of each (host, template)."""
+    nodes = defaultdict(lambda: [0, 0, 0])
+    for host, t, label in rows:
+        nodes[host, t][0] += 1
+        nodes[host, t][1 if label == "allow" else 2] += label is not None
+    now = {key: key[1] for key in nodes}
+    for level in range(max(len(t) for _, t in nodes)):
+        leaf = defaultdict(lambda: [0, 0, 0.0])
+        for key, t in now.items():
+            if len(t) > level:
+                n, good, bad = nodes[key]
+                one = leaf[key[0], t[:level], t[level]]
+                one[0] += n
+                if good + bad:
+                    one[1] += 1
+                    one[2] += bad / (good + bad)
+        families = defaultdict(list)
+        for (host, up, name), values in leaf.items():
+            families[host, up].append((name, *values))
+        wild = set()
+        for (host, up), children in families.items():
+            pages, every = sum(c[1] for c in children), sum(c[2] for c in children)
+            mean = (sum(c[3] for c in children) + 0.5) / (every + 1)
+            small = [c for c in children if c[1] * spread <= pages]
+            for name, _, m, p in small if len(small) > spread else ():
+                if not name.startswith("{") and abs(p - mean * m) <= 2 * math.sqrt(mean * (1 - mean) * m) + 0.5:
+                    wild.add((host, up, name))
+        now = {k: t[:level] + ("{*}",) + t[level + 1:] if len(t) > level and (k[0], t[:level], t[level]) in wild else t for k, t in now.items()}
+    return now
+
+
+def test_tree_equals_plain_and_does_not_depend_on_the_number_of_pages(spark):
+    rng = random.Random(5)
+    rows = [("a", ("user", f"u{i}", rng.choice(["home", "posts"])), rng.choice([None, "allow", "block"])) for i in range(60) for _ in range(4)]
+    rows += [("a", ("top", f"x{i}", *[f"d{j}" for j in range(10)], f"y{i % 7}"), "block" if i < 3 else "allow") for i in range(40)]
+    rows += [("b", (f"s{i}", "{n}"), "allow") for i in range(15)] + [("b", (), None), ("", ("z",), None)]
+    rows += [("c", ("shop", f"bad{i // 30}", f"p{i}"), "block") for i in range(60)] + [("c", ("shop", f"good{i}", "p"), "allow") for i in range(300)]
+    want = plain_tree(rows, 20)
+    assert ("user", "{*}", "home") in want.values() and any(len(t) > 12 and t[1] == "{*}" for t in want.values())
+    assert {t[1] for (h, _), t in want.items() if h == "c"} == {"{*}", "bad0", "bad1"}
+    for times in (1, 10):
+        table = spark.createDataFrame(rows * times, "host string, template array<string>, label string").repartition(4)
+        assert {(r.host, tuple(r.source)): tuple(r.t) for r in url_filter.tree(table).collect()} == want

@@ -12,7 +12,8 @@ from tidelake.session import checkpointed
 #: (host suffix, path prefix) of each rule; the longest that fits decides.
 ALLOW = (("org", "/"), ("com", "/fr/"))
 BLOCK = (("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/de/"))
-DEPTH = 8
+#: Branches that hold at most this part of their parent's pages are values where there are more than SPREAD of them.
+SPREAD = 20
 
 
 def host_of(url: Column) -> Column:
@@ -46,43 +47,43 @@ def generalised(segment: Column) -> Column:
 
 
 def templates(path: Column) -> Column:
-    """Segments of a path by their template, DEPTH of them; what lies deeper is one wildcard. A closing slash does not count."""
-    parts = F.filter(F.split(path, "/", -1), lambda x: x != "")
-    head = F.transform(F.slice(parts, 1, DEPTH), generalised)
-    return F.when(F.size(parts) > DEPTH, F.concat(head, F.array(F.lit("{deep}")))).otherwise(head)
+    """Segments of a path by their template, to the path's own depth. Empty segments and a closing slash do not count."""
+    return F.transform(F.filter(F.split(path, "/", -1), lambda x: x != ""), generalised)
 
 
-def merged(nodes: DataFrame, level: int, least: int, spread: int) -> DataFrame:
+def merged(nodes: DataFrame, level: int, spread: int) -> DataFrame:
     """Branches of one level that are statistically alike, as a wildcard.
 
-    ``nodes`` has host, t (segments), n, good, bad. Under one parent, branches with at most ``least`` pages each are merged
-    when there are over ``spread`` of them: so many rare children are values, not names. Frequent branches stay, and so do branches whose
-    share of bad pages differs from that of their siblings by more than two standard errors.
+    ``nodes`` has host, source, t (segments), n, good, bad. Under one parent, branches with at most a ``spread``-th of its pages each
+    are merged when there are over ``spread`` of them: so many small children are values, not names. A branch stays
+    apart where the purity of its labelled templates differs from that of its siblings by more than two standard errors. Templates
+    are the observations, not pages, and sizes are relative to the parent: the same site with ten times the pages merges alike.
     """
-    here = F.size("t") > level
-    parent = F.slice("t", 1, level)
-    child = F.get("t", F.lit(level))
+    here, parent, child = F.size("t") > level, F.slice("t", 1, level), F.get("t", F.lit(level))
+    seen = F.col("good") + F.col("bad")
     leaf = nodes.where(here).groupBy("host", parent.alias("up"), child.alias("name")).agg(
-        F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    family = leaf.groupBy("host", "up").agg(
-        F.sum(F.when(F.col("n") <= least, 1).otherwise(0)).alias("rare"), F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
-    judged = leaf.join(family.where(F.col("rare") > spread), ["host", "up"])
-    seen, every = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad")
-    mean = (F.col("all_bad") + 0.5) / (every + 1)
-    alike = F.abs(F.col("bad") - mean * seen) <= 2 * F.sqrt(mean * (1 - mean) * seen) + 0.5
-    gone = judged.where((F.col("n") <= least) & alike & ~F.col("name").startswith("{")).select(
+        F.sum("n").alias("n"), F.count(F.when(seen > 0, 1)).alias("m"),
+        F.sum(F.when(seen > 0, F.col("bad") / seen).otherwise(0.0)).alias("p"))
+    leaf = checkpointed(leaf)
+    family = leaf.groupBy(F.col("host").alias("fh"), F.col("up").alias("fu")).agg(
+        F.sum("n").alias("pages"), F.sum("m").alias("every"), F.sum("p").alias("impure"))
+    same = (F.col("host") == F.col("fh")) & (F.col("up") == F.col("fu"))
+    small = leaf.join(family, same).where(F.col("n") * spread <= F.col("pages")).drop("fh", "fu")
+    many = small.groupBy(F.col("host").alias("fh"), F.col("up").alias("fu")).count().where(F.col("count") > spread)
+    mean = (F.col("impure") + 0.5) / (F.col("every") + 1)
+    alike = F.abs(F.col("p") - mean * F.col("m")) <= 2 * F.sqrt(mean * (1 - mean) * F.col("m")) + 0.5
+    gone = small.join(many, same).where(alike & ~F.col("name").startswith("{")).select(
         F.col("host").alias("h"), "up", "name", F.lit(True).alias("wild"))
     marked = nodes.join(gone, (F.col("host") == F.col("h")) & here & (parent == F.col("up")) & (child == F.col("name")), "left")
-    wild = F.concat(F.slice("t", 1, level), F.array(F.lit("{*}")), F.slice("t", level + 2, DEPTH + 1))
-    out = marked.select("host", F.col("source"), F.when(F.col("wild"), wild).otherwise(F.col("t")).alias("t"), "n", "good", "bad")
-    return out
+    wild = F.concat(F.slice("t", 1, level), F.array(F.lit("{*}")), F.slice("t", level + 2, F.size("t")))
+    return marked.select("host", "source", F.when(F.col("wild"), wild).otherwise(F.col("t")).alias("t"), "n", "good", "bad")
 
 
-def tree(pages: DataFrame, least: int = 3, spread: int = 20) -> DataFrame:
+def tree(pages: DataFrame, spread: int = SPREAD) -> DataFrame:
     """(host, source, t, n, good, bad): each template as found, with the template that the merged tree gives it.
 
     The tree works on templates, which partial aggregation counts before the exchange: a host with a third of all pages
-    sends one row per template and task.
+    sends one row per template and task. One round a level, to the deepest path.
     """
     nodes = pages.groupBy("host", F.col("template").alias("source")).agg(
         F.count("*").alias("n"), F.sum((F.col("label") == "allow").cast("long")).alias("good"),
@@ -91,7 +92,7 @@ def tree(pages: DataFrame, least: int = 3, spread: int = 20) -> DataFrame:
                                       F.coalesce("bad", F.lit(0)).alias("bad")))
     deepest = nodes.agg(F.max(F.size("t"))).first()[0] or 0
     for level in range(deepest):
-        nodes = checkpointed(merged(nodes, level, least, spread))
+        nodes = checkpointed(merged(nodes, level, spread))
     return nodes
 
 
@@ -118,7 +119,7 @@ def judged(nodes: DataFrame, weight: float = 5.0, least_share: float = 0.5) -> D
     return rows.select("host", "source", F.when(F.col("share") > least_share, "block").otherwise("allow").alias("verdict"))
 
 
-def filtered(pages: DataFrame, least: int = 3, spread: int = 20) -> DataFrame:
+def filtered(pages: DataFrame, spread: int = SPREAD) -> DataFrame:
     """(page_id, host, path, template, rule, verdict) of every page.
 
     Pages that a rule fits have its verdict; those verdicts are the labels by which the templates are judged, which decide
@@ -129,7 +130,7 @@ def filtered(pages: DataFrame, least: int = 3, spread: int = 20) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, label = ruled(F.col("host"), F.col("path"))
     rows = checkpointed(rows.select("*", rule.alias("rule"), label.alias("label"), templates(F.col("path")).alias("template")))
-    verdicts = judged(tree(rows, least, spread))
+    verdicts = judged(tree(rows, spread))
     key = F.struct("host", "template")
     side = checkpointed(verdicts.select(F.struct("host", F.col("source").alias("template")).alias("of"), "verdict"))
     out = spread_join(rows.withColumn("key", key), side, "key", "of")
