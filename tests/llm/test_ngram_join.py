@@ -61,6 +61,50 @@ def test_equals_brute_force(spark, monkeypatch, width, percent, seed):
 
 def test_empty_table(spark):
     assert ngram_join.classes(documents(spark, []), 4, 85).count() == 0
+    assert ngram_join.links(documents(spark, []), 4, 85).count() == 0
+
+
+def test_all_links_between_different_texts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAST_FREQUENT", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", 300)
+    rows = corpus(4) + [(d and 1000 + d, t) for d, t in awkward()]
+    least = {}
+    for doc, text in rows:
+        words = tuple(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
+        if words:
+            least[words] = min(x for x in (least.get(words), doc) if x is not None) if doc is not None else least.get(words)
+    sets = [(doc, shingles(" ".join(words), 2)) for words, doc in least.items()]
+    expected = set()
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if 100 * len(x & y) >= 60 * len(x | y):
+                (low, p), (high, q) = sorted([(a, x), (b, y)], key=lambda e: e[0])
+                expected.add((low, high, len(x & y), len(p), len(q)))
+    found = [tuple(r) for r in ngram_join.links(documents(spark, rows).repartition(3), 2, 60).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected and len(expected) > 40
+
+
+def test_candidates_of_a_shared_passage_grow_with_its_texts(spark):
+    """Rare lists are short at every size: texts that share a passage only never give pairs in proportion to their square."""
+    rng, passage = random.Random(6), " ".join(f"shared{i}" for i in range(40))
+    per_text = []
+    for n in (60, 600, 6000):
+        rows = [(i, f"{passage} " + " ".join(f"w{rng.randrange(1 << 40)}" for _ in range(40))) for i in range(n)]
+        docs = documents(spark, rows).repartition(4)
+        mask = ngram_join.frequent_tokens(docs, 4, 77 * n)
+        found = ngram_join.candidates(docs, 4, ngram_join.Bound(85), mask, 77 * n)
+        per_text.append(found.distinct().count() / n)
+    assert max(per_text) <= ngram_join.LEAST_FREQUENT / 2
+
+
+def test_frequent_tokens_of_a_wider_count(spark, monkeypatch):
+    """Slots grow with the corpus, limits do not: the same tokens are frequent, whatever the total says."""
+    rows = [(i, f"common words of many texts and {i} own{i} only{i} here{i}") for i in range(100)]
+    docs = documents(spark, rows).repartition(3)
+    masks = [ngram_join.frequent_tokens(docs, 4, total) for total in (800, 1 << 45)]
+    assert (masks[0] == masks[1]).all()
+    import numpy as np
+    assert int(np.bitwise_count(masks[0]).sum()) == 3  # the windows that all texts share
 
 
 def test_prefix_finds_every_linked_pair():

@@ -9,8 +9,9 @@ lacks at most ``missing(n)`` of them in its partner. Hence
   distance of one or two are indexed: two per token, not all combinations.
 
 Of two linked sets, all that the shorter prefix (in the global order) shares lies in the longer one, so the argument holds whichever
-of them has it. Rare tokens occur in fewer than a fixed number of texts, which bounds their lists. Pairs of frequent tokens may be as frequent
-as a family of near copies is large. Candidate pairs of rare tokens are thinned by size and by a parity bitmap, both exact
+of them has it, whichever tokens are called frequent. Rare tokens occur in fewer than LEAST_FREQUENT texts at every size of the corpus,
+which bounds their lists and keeps their candidate pairs in proportion to the texts. The frequent ones are known by a mask of fixed size, in which some rare
+tokens count as frequent. Pairs of frequent tokens may be as frequent as a family of near copies is large. Candidate pairs of rare tokens are thinned by size and by a parity bitmap, both exact
 bounds; what they and shared pairs of frequent tokens connect is a family. Its members are compared in blocks: bitmaps first, then
 full sets, unless earlier links of the block connect the two already.
 """
@@ -32,9 +33,10 @@ from tidelake.session import checkpointed
 LEAST_BITS = 1024
 #: Size codes grow by 2 % a step.
 STEP = 1.02
-#: At most so many frequent tokens exist, which bounds what is broadcast (4 bytes each).
-MOST_FREQUENT = 1 << 20
+#: Tokens of at least so many texts are frequent, however large the corpus.
 LEAST_FREQUENT = 64
+#: Bits of the mask of frequent tokens, the only thing about them that is broadcast (16 MB): a token's upper bits are its place.
+FREQUENT_BITS = 27
 #: Bits of the mask by which the documents of candidates are found; more documents than bits only cost time.
 MASK, MASK_PARTS = 1 << 23, 64
 BLOCK_TOKENS = 1 << 20
@@ -134,15 +136,22 @@ def summarised(docs: DataFrame, width: int) -> DataFrame:
     return checkpointed(_own(docs).mapInArrow(run, INFO))
 
 
-def frequent_tokens(docs: DataFrame, width: int, total: int) -> tuple[np.ndarray, int]:
-    """Sorted upper halves of the tokens in at least ``limit`` texts, and that limit; counts cover all tokens of all rows.
+def slot_bits(total: int) -> int:
+    """Upper bits by which tokens are counted: at least as many slots as shingles, and places of the mask are prefixes of slots."""
+    return min(63, max(32, FREQUENT_BITS, total.bit_length()))
+
+
+def frequent_tokens(docs: DataFrame, width: int, total: int) -> np.ndarray:
+    """Packed mask of the places of all tokens in at least LEAST_FREQUENT texts; counts cover all tokens of all rows.
 
     A task counts its tokens once per text and sends, per range of tokens, one sorted array of differences with
-    counts; a text that is copied throughout the corpus thus weighs once per task. Two tokens that agree in their
-    upper halves count as one, which at most calls a rare one frequent.
+    counts; a text that is copied throughout the corpus thus weighs once per task. Tokens of one slot count as one, tokens of one place
+    share its bit: both at most call a rare one frequent. Every range gives its own stretch of the mask, so the driver gets the mask's size
+    and a few bytes a range.
     """
-    limit = max(LEAST_FREQUENT, -(-total // MOST_FREQUENT))
+    limit, bits = LEAST_FREQUENT, slot_bits(total)
     parts = tasks_for(docs.sparkSession, total, 4_000_000)
+    edges = np.array([(k << bits) // parts for k in range(parts + 1)], np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen, kept, held = Shingler(width), set(), [], 0
@@ -151,7 +160,7 @@ def frequent_tokens(docs: DataFrame, width: int, total: int) -> tuple[np.ndarray
                 if key is None or key in seen:
                     continue
                 seen.add(key)
-                kept.append((own >> np.uint64(32)).astype(np.uint32))
+                kept.append(own >> np.uint64(64 - bits))
                 held += len(own)
                 if held >= 4_000_000:
                     yield packed(kept)
@@ -161,20 +170,22 @@ def frequent_tokens(docs: DataFrame, width: int, total: int) -> tuple[np.ndarray
 
     def packed(kept: list[np.ndarray]) -> pa.RecordBatch:
         tokens, counts = np.unique(np.concatenate(kept), return_counts=True)
-        edges = np.searchsorted(tokens, (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
-        rows = [(k, planes(np.diff(tokens[a:b], prepend=np.uint32(0))), planes(counts[a:b].astype("<u4")))
-                for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        at = np.searchsorted(tokens, edges)
+        rows = [(k, planes(np.diff(tokens[a:b], prepend=edges[k]), "<u8"), planes(counts[a:b], "<u4"))
+                for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
                                            pa.array([r[2] for r in rows], pa.binary())], names=["part", "steps", "counts"])
 
-    def planes(x: np.ndarray) -> bytes:
-        return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    def planes(x: np.ndarray, kind: str) -> bytes:
+        x = x.astype(kind)
+        return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
 
-    def plain(x: bytes) -> np.ndarray:
-        return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    def plain(x: bytes, kind: str) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = np.empty(0, np.uint32), np.empty(0, np.int64)
+        first = edges[key[0].as_py()]
+        tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         def fold() -> None:
@@ -189,15 +200,28 @@ def frequent_tokens(docs: DataFrame, width: int, total: int) -> tuple[np.ndarray
 
         for batch in batches:
             for steps, n in zip(batch.column("steps"), batch.column("counts"), strict=True):
-                waiting.append((np.cumsum(plain(steps.as_py()), dtype=np.uint32), plain(n.as_py()).astype(np.int64)))
+                waiting.append((first + np.cumsum(plain(steps.as_py(), "<u8"), dtype=np.uint64), plain(n.as_py(), "<u4").astype(np.int64)))
                 if sum(len(t) for t, _ in waiting) > 4_000_000:
                     fold()
         fold()
-        yield pa.RecordBatch.from_arrays([pa.array([tokens[counts >= limit].astype("<u4").tobytes()], pa.binary())], names=["tokens"])
+        places = (tokens[counts >= limit] >> np.uint64(bits - FREQUENT_BITS)).astype(np.int64)
+        if len(places):
+            at = int(places[0]) >> 3
+            stretch = np.zeros((int(places[-1]) >> 3) - at + 1, np.uint8)
+            np.bitwise_or.at(stretch, (places >> 3) - at, (1 << (places & 7)).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([stretch.tobytes()], pa.binary())], names=["at", "bits"])
 
     counted = _own(docs).mapInArrow(count, "part int, steps binary, counts binary")
-    found = counted.groupBy("part").applyInArrow(add, "tokens binary").collect()
-    return np.sort(np.frombuffer(b"".join(r["tokens"] for r in found), "<u4")), limit
+    mask = np.zeros(1 << FREQUENT_BITS - 3, np.uint8)
+    for at, stretch in counted.groupBy("part").applyInArrow(add, "at long, bits binary").collect():
+        mask[at:at + len(stretch)] |= np.frombuffer(stretch, np.uint8)
+    return mask
+
+
+def rarely(own: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Which tokens of a set are rare."""
+    place = (own >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64)
+    return mask[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 0
 
 
 def signatures(own: np.ndarray, rare: np.ndarray, bound: Bound) -> list[tuple[int, np.ndarray]]:
@@ -236,13 +260,8 @@ def candidates(docs: DataFrame, width: int, bound: Bound, frequent: np.ndarray,
                 if key is None or key in seen:
                     continue
                 seen.add(key)
-                upper = (own >> np.uint64(32)).astype(np.uint32)
-                at = np.searchsorted(often, upper)
-                rare = np.ones(len(own), bool)
-                inside = at < len(often)
-                rare[inside] = often[at[inside]] != upper[inside]
                 code = size_code(len(own))
-                for kind, found in signatures(own, rare, bound):
+                for kind, found in signatures(own, rarely(own, often), bound):
                     kept.append(posted(found, kind, code))
                     keys.append(np.full(len(found), short_key(key), np.int64))
             if kept:
@@ -352,8 +371,8 @@ def stars(postings: DataFrame, info: DataFrame) -> DataFrame:
     return edges.withColumnRenamed("hub", "a").join(side("a"), "a").join(side("b"), "b").select("ka", "kb")
 
 
-def family_links(members: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
-    """Links within families (root, key, least, n, bits), enough of them to connect what all links connect.
+def family_links(members: DataFrame, sets: DataFrame, bound: Bound, every: bool = False) -> DataFrame:
+    """Links (a, b, common tokens) within families (root, key, least, n, bits): all, or enough to connect what all connect.
 
     A family is cut by hash into chunks of about a million tokens; every two chunks meet in one block. The set of a member of
     a family of one chunk thus moves once, however many candidate pairs it is in.
@@ -395,40 +414,47 @@ def family_links(members: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame
             fits = possible(differ, sizes[others], sizes[a], bound)
             for b in others[fits][np.argsort(differ[fits], kind="stable")].tolist():
                 x, y = root(a), root(b)
-                if x == y or not possible(differences(whole[a], whole[b]), sizes[a], sizes[b], bound):
+                if x == y and not every or not possible(differences(whole[a], whole[b]), sizes[a], sizes[b], bound):
                     continue
-                if bound.linked(sizes[a], sizes[b], len(np.intersect1d(of(a), of(b), assume_unique=True))):
+                common = len(np.intersect1d(of(a), of(b), assume_unique=True))
+                if bound.linked(sizes[a], sizes[b], common):
                     parent[max(x, y)] = min(x, y)
-                    links.append((keys[a], keys[b]))
-        return pa.table({"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())})
+                    links.append((keys[a], keys[b], common))
+        return pa.table({"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary()),
+                         "common": pa.array([x[2] for x in links], pa.int64())})
 
-    return joined.groupBy("root", "i", "k").applyInArrow(run, "a binary, b binary")
+    return joined.groupBy("root", "i", "k").applyInArrow(run, "a binary, b binary, common long")
 
 
-def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Each row's class: (doc_id, n_shingles, key, component_id).
-
-    Two documents link when their sets of ``width``-word shingles have a Jaccard coefficient of at least percent / 100; words are
-    cut at ASCII white space, A-Z count as a-z. Fewer words than ``width`` make one shingle. Rows without words, or with a null
-    text, have no shingles and their own doc_id as component_id. Equal word sequences are one text from the start. component_id is
-    the smallest doc_id reachable by links, null only where all reachable ones are null. One row per input row, also for
-    repeated rows; only doc_id and text are read; an empty table gives no rows.
-    """
-    bound = Bound(percent)
-    if not 50 < percent <= 100:
+def families(docs: DataFrame, width: int, bound: Bound) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows as ``summarised``, different texts (key, short, n, bits, least doc_id), and texts with candidates by family (root)."""
+    if not 50 < bound.percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     info = summarised(docs, width)
     one = info.where(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("short").alias("short"), F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("doc_id").alias("least"))
     one = checkpointed(one)
     total = one.agg(F.sum("n")).first()[0] or 0
-    frequent, _ = frequent_tokens(docs, width, total)
+    frequent = frequent_tokens(docs, width, total)
     found = candidates(docs, width, bound, frequent, total)
     pairs = close(found.where("kind = 0").select("a", "b").distinct(), one, bound)
     edges = pairs.union(stars(found.where("kind = 1").select("a", "b"), one)).select(F.col("ka").alias("a"), F.col("kb").alias("b"))
     members = checkpointed(connected(edges).join(one.select(F.col("key").alias("node"), "least", "n", "bits"), "node").select(
         "root", F.col("node").alias("key"), "least", "n", "bits"))
-    links = family_links(members, token_sets(docs, width, members.select("least")), bound).distinct()
+    return info, one, members
+
+
+def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Each row's class: (doc_id, n_shingles, key, component_id).
+
+    Two documents link when their sets of ``width``-word shingles have a Jaccard coefficient of at least percent / 100; words are
+    cut at ASCII white space, A-Z count as a-z. Fewer words than ``width`` make one shingle. Rows without words, or with a null
+    text, have no shingles and their own doc_id as component_id. Equal word sequences are one text from the start. component_id is
+    the smallest doc_id reachable by links, null only where all reachable ones are null. One row per input row, also for
+    repeated rows; only doc_id and text are read; an empty table gives no rows.
+    """
+    info, one, members = families(docs, width, Bound(percent))
+    links = family_links(members, token_sets(docs, width, members.select("least")), Bound(percent)).distinct()
     roots = connected(links)
     named = roots.join(one.select(F.col("key").alias("node"), "least"), "node")
     component = named.groupBy("root").agg(F.min("least").alias("component"))
@@ -437,3 +463,19 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     out = spread_join(info, checkpointed(every), "key", "of")
     return out.select("doc_id", F.col("n").alias("n_shingles"), "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(
         F.col("component")).alias("component_id"))
+
+
+def links(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """All links between different texts: (a, b, common, n_a, n_b), a and b the smallest doc_ids of their word sequences.
+
+    The rule is that of ``classes``, whose keys tell which documents are copies of a and b; copies are not expanded. Each link comes
+    once, a below b (a null doc_id first). Their number grows with the square of a group of different linked texts. Rows without words, null
+    texts and empty tables give none.
+    """
+    bound = Bound(percent)
+    _, one, members = families(docs, width, bound)
+    found = family_links(members, token_sets(docs, width, members.select("least")), bound, every=True).distinct()
+    side = lambda p: one.select(F.col("key").alias(p), F.struct("least", "n").alias(f"of_{p}"))
+    both = found.join(side("a"), "a").join(side("b"), "b").select(
+        F.least("of_a", "of_b").alias("x"), F.greatest("of_a", "of_b").alias("y"), "common")
+    return both.select(F.col("x.least").alias("a"), F.col("y.least").alias("b"), "common", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
