@@ -9,7 +9,7 @@ from tidelake.plans.registered.registry import registered
 from tidelake.plans.registered.views import sql
 from tidelake.plans.standins import StandIns, table
 from tidelake.session import scratch_path
-from tidelake.sources import files, writers
+from tidelake.sources import files, payload_source, writers
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, day date, o_orderpriority string"
 ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS day, o_orderpriority
@@ -110,6 +110,22 @@ def raw_payloads(spark, sf_dir):
     return files.read_payloads(spark, path).select("source_key", "raw")
 
 
+@registered("payload_files_sql", """
+    SELECT lang AS source_key, count(*) AS payloads, CAST(sum(length(html)) AS BIGINT) AS characters, min(html) AS first_payload
+    FROM (SELECT DISTINCT lang, html FROM pages JOIN documents ON doc_id = page_id) GROUP BY lang""")
+def payload_files_sql(spark, sf_dir):
+    """Pages written as payload files and read by SQL alone, through the data source."""
+    path = scratch_path(spark, "payload-source")
+    pages = table(spark, sf_dir, "pages").withColumnRenamed("page_id", "doc_id").join(
+        table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").select("lang", F.col("html").alias("value"))
+    writers.write_raw(pages, path, "lang")
+    payload_source.register(spark)
+    view = f"payloads_{path[-32:]}"
+    spark.sql(f"CREATE TEMPORARY VIEW {view} USING payload_files OPTIONS (path '{path}', key 'lang')")
+    return spark.sql(f"""SELECT source_key, count(*) AS payloads, sum(length(raw)) AS characters, min(raw) AS first_payload
+        FROM {view} GROUP BY source_key""")
+
+
 @registered("input_fingerprint", """
     SELECT count(*) AS file_count, CAST(sum(strlen(text)) AS BIGINT) AS total_size, true AS has_time
     FROM (SELECT DISTINCT source, text FROM documents)""")

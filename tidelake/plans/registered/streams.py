@@ -9,6 +9,7 @@ from tidelake.plans.registered.registry import registered
 from tidelake.plans.registered.operators import LATEST_LINES
 from tidelake.plans.standins import table
 from tidelake.session import scratch_path
+from tidelake.sources import payload_source, writers
 from tidelake.streaming import jobs
 
 FILES = 6
@@ -64,3 +65,17 @@ def stream_merged_lines(spark, sf_dir):
                      lines.schema, ["l_orderkey", "l_linenumber"],
                      lambda: [F.col(c).desc_nulls_last() for c in newest], ["part"]).awaitTermination()
     return spark.read.schema(lines.schema).parquet(path).drop("part")
+
+
+@registered("stream_payload_files", "SELECT DISTINCT lang AS source_key, text AS raw FROM documents WHERE text IS NOT NULL")
+def stream_payload_files(spark, sf_dir):
+    """Payload files of two arrivals, streamed through the data source by a query that is stopped in between."""
+    root, log, state, out = (scratch_path(spark, f"payload-{x}") for x in ("in", "log", "state", "out"))
+    docs, late = table(spark, sf_dir, "documents"), F.xxhash64("lang") % 2 == 0
+    payload_source.register(spark)
+    for arrival in (docs.where(~late), docs.where(late)):
+        writers.write_raw(arrival.select("lang", "text"), root, "lang", "text")
+        stream = spark.readStream.format(payload_source.NAME).options(path=root, key="lang", log=log).load()
+        stream.select("source_key", "raw").writeStream.format("parquet").option("checkpointLocation", state).trigger(
+            availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
