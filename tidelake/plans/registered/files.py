@@ -10,6 +10,7 @@ from tidelake.plans.registered.views import sql
 from tidelake.plans.standins import StandIns, table
 from tidelake.session import scratch_path
 from tidelake.sources import files, payload_source, writers
+from tidelake.sources.versioned import VersionedTable
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, day date, o_orderpriority string"
 ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS day, o_orderpriority
@@ -110,6 +111,22 @@ def raw_payloads(spark, sf_dir):
     return files.read_payloads(spark, path).select("source_key", "raw")
 
 
+@registered("curve_layout", """
+    SELECT l_suppkey, CAST(l_shipdate AS DATE) < DATE '1995-06-01' AS early, count(*) AS lines, CAST(sum(l_partkey) AS BIGINT) AS parts
+    FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE) < DATE '1995-06-01'""")
+def curve_layout(spark, sf_dir):
+    """All lines stored along a curve over supplier and date, read back in two parts, each from the files that may hold it."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("day"), "l_partkey")
+    stored = VersionedTable(spark, scratch_path(spark, "curve"), cluster_by=["l_suppkey", "day"], along_curve=True)
+    stored.append(lines)
+    border = F.lit("1995-06-01").cast("date")
+    early = stored.read(files=F.col("least.day") < border).where(F.col("day") < border)
+    late = stored.read(files=F.col("greatest.day") >= border).where(F.col("day") >= border)
+    parts = [part.groupBy("l_suppkey").agg(F.count("*").alias("lines"), F.sum("l_partkey").alias("parts")).withColumn("early", F.lit(is_early))
+             for part, is_early in ((early, True), (late, False))]
+    return parts[0].unionByName(parts[1])
+
+
 @registered("payload_files_sql", """
     SELECT lang AS source_key, count(*) AS payloads, CAST(sum(length(html)) AS BIGINT) AS characters, min(html) AS first_payload
     FROM (SELECT DISTINCT lang, html FROM pages JOIN documents ON doc_id = page_id) GROUP BY lang""")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, MapType, StringType, StructField, StructType
 
+from tidelake.operators import layout
 from tidelake.session import checkpointed
 from tidelake.sources import raw
 
@@ -47,8 +48,9 @@ class VersionedTable:
     """
 
     def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
-                 rows_per_file: int = 0):
+                 rows_per_file: int = 0, along_curve: bool = False):
         self.rows_per_file = rows_per_file  # at most; 0: a file per task and partition
+        self.along_curve = along_curve  # clustered by all columns alike, each file narrow in every one; else by the first, then the next
         self.spark, self.root = spark, root.rstrip("/")
         self.partition_by, self.cluster_by = list(partition_by), list(cluster_by)
 
@@ -155,7 +157,11 @@ class VersionedTable:
         """Write rows as new files, one partition to a file, clustered; their list."""
         target = f"{self.root}/data/{uuid.uuid4().hex}"
         order = [*self.partition_by, *[c for c in self.cluster_by if c not in self.partition_by]]
-        if order:
+        if self.along_curve and self.cluster_by:
+            placed = rows.withColumn("__curve", layout.curve(rows, self.cluster_by))
+            order = [*self.partition_by, "__curve", *self.cluster_by]
+            rows = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("__curve")
+        elif order:
             rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         # directories have plain names of their own, so that any value may be that of a partition and files hold all columns
         name = F.sha2(F.to_json(F.struct(*self.partition_by), {"ignoreNullFields": "false"}), 256) if self.partition_by else F.lit("all")
