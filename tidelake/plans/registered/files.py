@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.operators import dedup, quality
+from tidelake.operators import dedup, quality, segments
 from tidelake.plans.registered.registry import registered
 from tidelake.plans.registered.views import sql
 from tidelake.plans.standins import StandIns, table
@@ -226,3 +226,18 @@ def counted_write(spark, sf_dir):
     path = scratch_path(spark, "counted")
     seen = writers.write_counted(table(spark, sf_dir, "events"), path)
     return files.read_parquet(spark, path).agg(F.lit(seen).alias("observed_rows"), F.count(F.lit(1)).alias("stored_rows"))
+
+
+@registered("tick_windows", """
+    SELECT event_id, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) OVER so_far AS BIGINT) AS volume_so_far, lag(value) OVER so_far AS previous,
+        max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS high_of_21
+    FROM events WINDOW so_far AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def tick_windows(spark, sf_dir):
+    """Windows over raw ticks, in blocks: volume so far, previous price, high of 21 ticks."""
+    ticks = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "ts", "value", F.get_json_object("props", "$.k").cast("bigint").alias("volume"))
+    keys, order = ["user_id"], ["ts", "event_id"]
+    framed = segments.over_blocks(ticks, keys, order, 20, {
+        "previous": lambda w: F.lag("value").over(w), "high_of_21": lambda w: F.max("value").over(w.rowsBetween(-20, 0))})
+    return segments.with_running(framed, keys, order, {"volume_so_far": F.col("volume")}).select(
+        "event_id", "volume_so_far", "previous", "high_of_21")
