@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -76,3 +79,22 @@ def test_pieces_that_never_fit_end(spark):
     pieces = spark.range(500).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "1100L AS length", "0L AS ids_crc32")
     out = packing.packed(pieces, units_per_task=50)
     assert out.select("sequence_id").distinct().count() == out.count() == 500
+
+
+def test_memory_of_a_task_does_not_grow_with_its_batch(spark):
+    class Docs:  # gives the function that tasks run
+        sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x)))
+        select = lambda self, *columns: self
+        mapInArrow = lambda self, run, schema: run
+
+    rng = random.Random(5)
+    words = [prose(rng, 1) for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(5000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    run = packing.token_pieces(Docs(), PATH)
+    assert batch.nbytes > 3 << 20
+    tracemalloc.start()
+    assert sum(b.num_rows for b in run(iter([batch]))) >= len(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 90 << 20

@@ -1,7 +1,9 @@
 import os
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import functions as F
 
@@ -51,3 +53,14 @@ def test_counts_cover_all_training_rows(spark):
     _, few = quality.learn(documents(spark, rows).repartition(3), labels, "quality", lambda c: F.lit(True), most_rows=20)
     _, all_ = quality.learn(documents(spark, rows), labels, "quality", lambda c: F.lit(True), most_rows=10_000)
     assert np.array_equal(few, all_)
+
+
+def test_memory_of_features_does_not_grow_with_the_batch():
+    rng = np.random.default_rng(5)
+    texts = pa.array([" ".join(f"w{k}" for k in rng.integers(0, 50_000, 200)) for _ in range(3000)])
+    assert texts.nbytes > 3 << 20
+    tracemalloc.start()
+    assert sum(end - first for first, end, _, _ in quality.Featurizer().batches(texts)) == len(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 << 20

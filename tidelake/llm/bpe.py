@@ -334,7 +334,7 @@ def code_point_classes() -> np.ndarray:
     import regex
 
     out = np.full(0x110000, OTHER, np.uint8)
-    every = "".join(map(chr, [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]))
+    every = np.r_[:0xD800, 0xE000:0x110000].astype("<u4").tobytes().decode("utf-32-le")  # every worker makes it: no list of characters
     for kind, name in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
         for m in regex.finditer(name, every):
             low, high = ord(every[m.start()]), ord(every[m.end() - 1])

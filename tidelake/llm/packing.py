@@ -15,6 +15,8 @@ from tidelake.session import checkpointed
 
 LENGTH = 2048
 END_OF_TEXT = 0
+#: Bytes of text encoded at once, which bounds a worker's arrays: they take many times a slice's size.
+SLICE = 1 << 19
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -80,7 +82,7 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = EN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kind(bpe.Merges(**shared.value))
         for batch in batches:
-            for first, last, data, offsets in bpe.slices(batch.column("text"), bpe.SLICE):
+            for first, last, data, offsets in bpe.slices(batch.column("text"), SLICE):
                 ids, at = encoded(encoder, added, data, offsets)
                 total = np.diff(at) + 1
                 number = -(-total // length)

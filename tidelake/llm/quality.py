@@ -18,6 +18,8 @@ BLOCKS = 16
 #: Words are compared with so many words before them, which makes repetition visible to indicators.
 BACK = 4
 THRESHOLD = 0.3
+#: Bytes of text whose features are made at once, which bounds a worker's arrays.
+SLICE = 1 << 19
 
 
 def _shape_classes() -> np.ndarray:
@@ -74,7 +76,7 @@ class Featurizer:
         return row << BITS | feature.astype(np.int64)
 
     def batches(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        for first, end, data, offsets in slices(texts):
+        for first, end, data, offsets in slices(texts, SLICE):
             yield first, end, *self.slice(data, offsets)
 
 
