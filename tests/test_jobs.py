@@ -183,3 +183,14 @@ def test_warehouse_load_from_silver(spark, tmp_path):
     assert {(r["table_name"], r["row_count"], r["sources"]) for r in views.source_coverage.collect()} == {
         ("dim_instrument", 2, 1), ("fact_market_ohlcv", 3, 1), ("fact_macro_obs", 2, 1), ("fact_crypto_ohlcv", 0, 0),
         ("fact_rates_daily", 0, 0), ("fact_filings", 0, 0)}
+
+
+def test_bronze_rejects_of_repeated_and_undated_orders(spark, tmp_path):
+    from tidelake.plans.registered.feeds import bronze_rejects
+    rows = [(k, k, "F", price, day, "1-URGENT") for k, price, day in [
+        (12, 1.0, "1997-01-01 10:00:00"), (12, 1.0, "1997-01-01 10:00:00"), (12, 2.0, "1997-01-01 11:00:00"), (12, 2.0, "1997-01-02 11:00:00"),
+        (13, 1.0, None), (20, 1.0, "1997-01-01 10:00:00"), (20, 1.0, "1997-01-01 10:00:00"), (21, 1.0, "1997-01-01 10:00:00"), (21, 1.0, None),
+        (None, 1.0, "1997-01-01 10:00:00")]]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, day string, o_orderpriority string").withColumn(
+        "o_orderdate", F.col("day").cast("timestamp_ntz")).drop("day").write.parquet(str(tmp_path / "orders.parquet"))
+    assert {(r["reason"], r["lines"]) for r in bronze_rejects(spark, str(tmp_path)).collect()} == {("torn line", 2), ("no date", 3)}
