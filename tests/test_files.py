@@ -143,3 +143,46 @@ def test_csv_export_doubles_its_quotes(spark, tmp_path):
         assert [r["name"] for r in csv.DictReader(file)] == ['say "x", y', "", "", "back\\slash", "a\r\nb"]
     back = files.read_csv(spark, str(tmp_path / "out"), "id int, name string")
     assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_lines_lie_as_sparks_writer_would_put_them(spark, tmp_path):
+    keys = ["A", "a/b", "^X", "x y", "é", "k=1%", "[q]{}", "", None]
+    rows = spark.createDataFrame([(k, f"{k} {n}" if n else None) for k in keys for n in range(3)], "symbol string, value string")
+    rows.write.partitionBy("symbol").text(str(tmp_path / "spark"))
+    writers.write_lines(rows, str(tmp_path / "own"), "symbol", ".ndjson")
+
+    def stored(root, suffix):
+        return {d.name: sorted(line for f in d.glob(f"*{suffix}") for line in f.read_text().split("\n")[:-1])
+                for d in (tmp_path / root).iterdir() if "=" in d.name}
+    assert stored("own", ".ndjson") == stored("spark", ".txt")
+    # a second write replaces its own keys only; one that fails replaces nothing
+    writers.write_lines(rows.where("symbol = 'A'").select("symbol", F.lit("new").alias("value")), str(tmp_path / "own"), "symbol", ".ndjson")
+    torn = rows.select("symbol", F.when(F.col("symbol") == "x y", F.raise_error(F.lit("torn"))).otherwise("x").alias("value"))
+    with pytest.raises(Exception, match="torn"):
+        writers.write_lines(torn, str(tmp_path / "own"), "symbol", ".ndjson")
+    assert stored("own", ".ndjson") == {**stored("spark", ".txt"), "symbol=A": ["new"] * 3}
+    assert all("=" in d.name for d in (tmp_path / "own").iterdir())
+
+
+def test_a_large_key_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 4 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 64)).alias("symbol"),
+                                      F.col("id").cast("string").alias("value"))
+    writers.write_lines(rows, str(tmp_path / "t"), "symbol")
+    number = {d.name: len(list(d.glob("*.txt"))) for d in (tmp_path / "t").glob("symbol=*")}
+    assert len(number) == 17 and {n for d, n in number.items() if d != "symbol=hot"} == {1}
+    assert sorted(int(r[0]) for r in spark.read.text(str(tmp_path / "t")).select("value").collect()) == list(range(40_000))
+
+
+def test_directories_are_listed_in_a_few_tasks(spark, tmp_path):
+    for k in range(spark.sparkContext.defaultParallelism * 8 + 40):
+        put(tmp_path, f"symbol={k}/data.ndjson", BAR.format(k, "2024-01-01", 1.0))
+    context = spark.sparkContext
+    context.setJobGroup(str(tmp_path), "listing")
+    try:
+        files.read_json_lines(spark, str(tmp_path), catalog.BRONZE_BAR, name_glob="*.ndjson")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(str(tmp_path)) for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) <= context.defaultParallelism * 8
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"

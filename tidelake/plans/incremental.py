@@ -16,7 +16,7 @@ from tidelake.operators import dedup
 from tidelake.plans import jobs
 from tidelake.session import checkpointed
 from tidelake.sources import raw
-from tidelake.sources.versioned import VersionedTable, file_of_row
+from tidelake.sources.versioned import URI, VersionedTable, path_of
 
 #: Files named to a reader one by one; more are read through their root and joined.
 NAMED_FILES = 10_000
@@ -78,7 +78,7 @@ def run(spark: SparkSession, merge: Merge, bronze: str, target: VersionedTable,
     A run that fails between the target's commit and the state's does its work again the next time, with the same result.
     """
     unit = list(merge.unit)
-    rows_of = lambda paths: merge.rows(spark, paths).withColumn("_path", plain(file_of_row()))
+    rows_of = lambda paths: merge.rows(spark, paths).withColumn("_uri", F.col(URI))
     now = checkpointed(raw.list_files(spark, bronze, merge.glob).withColumn("path", plain(F.col("path"))))
     first = state.version() is None
     known = now.limit(0).select("*", F.lit(False).alias("filled")) if first else state.read()
@@ -94,15 +94,15 @@ def run(spark: SparkSession, merge: Merge, bronze: str, target: VersionedTable,
         if len(named) <= NAMED_FILES:
             return rows_of(named) if named else rows_of(bronze).limit(0)
         wanted = paths.select(F.col("path").alias("_wanted"))
-        return rows_of(bronze).join(wanted, F.col("_path") == F.col("_wanted"), "left_semi")
+        return rows_of(bronze).join(wanted, plain(path_of("_uri")) == F.col("_wanted"), "left_semi")
 
     present = differing.where("status <> 'removed'")
     fresh = rows_of(bronze) if first else read(present.select("path"))
-    pairs = checkpointed(fresh.select("_path", *unit).distinct())
+    pairs = checkpointed(fresh.select("_uri", *unit).distinct().withColumn("_path", plain(path_of("_uri"))).drop("_uri"))
     entries = present.join(pairs, F.col("path") == F.col("_path"), "left").select(
         "path", "length", "modified_ms", F.col("_path").isNotNull().alias("filled"), *unit)
     if first:
-        version = target.overwrite(merge.latest(fresh.drop("_path")))
+        version = target.overwrite(merge.latest(fresh.drop("_uri")))
         state.overwrite(entries)
         return Outcome(outcome.added, 0, 0, version)
 
@@ -114,7 +114,7 @@ def run(spark: SparkSession, merge: Merge, bronze: str, target: VersionedTable,
         differing.select(F.col("path").alias("_old")), F.col("path") == F.col("_old"), "left_anti")
     others = checkpointed(feeding)
     every = fresh.unionByName(read(others)) if not others.isEmpty() else fresh
-    latest = checkpointed(merge.latest(every.drop("_path").join(units, same, "left_semi")))
+    latest = checkpointed(merge.latest(every.drop("_uri").join(units, same, "left_semi")))
     stored = target.read()
     held = stored.join(units, same, "left_semi").select(latest.columns)
     keys = checkpointed(latest.exceptAll(held).union(held.exceptAll(latest)).select(*merge.key).distinct())

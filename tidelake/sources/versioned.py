@@ -20,9 +20,13 @@ from tidelake.operators import layout
 from tidelake.session import checkpointed
 from tidelake.sources import raw
 
-def file_of_row() -> Column:
-    """Path of a row's file; the metadata column gives it as a URI."""
-    return F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+#: A row's file; the metadata column gives it as a URI.
+URI = "_metadata.file_path"
+
+
+def path_of(uri: Column | str) -> Column:
+    """Path that a URI of the metadata column means."""
+    return F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))
 
 
 def nullable(schema: DataType) -> DataType:
@@ -168,9 +172,10 @@ class VersionedTable:
         rows.withColumn("__part", name).write.partitionBy("__part").option("maxRecordsPerFile", self.rows_per_file).option(
             "compression", "zstd").parquet(target)
         stored = self.spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(target)
-        return stored.groupBy(file_of_row().alias("path")).agg(
+        listed = stored.groupBy(F.col(URI).alias("uri")).agg(
             self._of_each(self.partition_by, F.first).alias("part"), F.count(F.lit(1)).alias("rows"),
             self._of_each(self.cluster_by, F.min).alias("least"), self._of_each(self.cluster_by, F.max).alias("greatest"))
+        return listed.select(path_of("uri").alias("path"), "part", "rows", "least", "greatest")  # decoded once a file, not once a row
 
     def _commit(self, schema: StructType, added: DataFrame | None, gone: Callable[[DataFrame], DataFrame] | None, kind: str,
                 based_on: int | None) -> int:
@@ -248,8 +253,8 @@ class VersionedTable:
         def holding(paths: list[str]) -> list[str]:  # names only
             if not paths:
                 return []
-            found = self._rows(paths, schema).withColumn("__path", file_of_row()).join(mine, same(), "left_semi")
-            return [r["path"] for r in found.select(F.col("__path").alias("path")).distinct().collect()]
+            found = self._rows(paths, schema).withColumn("__uri", F.col(URI)).join(mine, same(), "left_semi")
+            return [r["path"] for r in found.select("__uri").distinct().select(path_of("__uri").alias("path")).collect()]
 
         held = holding(self._paths(self.files(based_on), bounds))
         if not held and rows.isEmpty():
