@@ -1,5 +1,7 @@
 """File functions in SQL text."""
 
+import json
+
 import pytest
 
 from tidelake.plans import adhoc, file_functions
@@ -74,3 +76,20 @@ def test_wrong_calls(spark, ticks, call, error):
 def test_filters_reach_the_scan(spark, ticks):
     plan = adhoc.query(spark, f"SELECT symbol FROM read_csv('{ticks}/a.csv', header=true) WHERE price > 1")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(price), GreaterThan(price,1.0)]" in plan and "ReadSchema: struct<symbol:string,price:double>" in plan
+
+
+def test_schema_of_many_documents_is_found_by_many_tasks(spark, tmp_path):
+    context = spark.sparkContext
+    for k in range(30):
+        (tmp_path / f"{k}.json").write_text(json.dumps([{"id": k, "n": {"x": k + 0.5}}, {"id": k, "late" if k == 29 else "n": None}], indent=1))
+    (tmp_path / "v.json").write_bytes("[\n{\"v\": \"é\"}]".encode("utf-16-le"))  # found by its bytes
+    context.setJobGroup(str(tmp_path), "schema")
+    try:
+        rows = file_functions.scan_json(spark, f"{tmp_path}/*.json", {})
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(str(tmp_path)) for s in tracker.getJobInfo(j).stageIds]
+    assert max(tasks) >= 8
+    own = spark.read.option("multiLine", True).json(f"{tmp_path}/*.json")
+    assert rows.schema == own.schema and rows.exceptAll(own).isEmpty() and rows.count() == 61

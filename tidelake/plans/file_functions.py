@@ -13,7 +13,9 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
+
+from tidelake.session import grouped_listing
 
 TOKEN = re.compile(r"""--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|"(?:[^"]|"")*"|`[^`]*`|[A-Za-z_]\w*|\d+(?:\.\d+)?|:=|=>|\s+|.""", re.DOTALL)
 # Names of types that Spark spells otherwise, and of format codes
@@ -153,6 +155,16 @@ def scan_csv(spark: SparkSession, path: str, options: dict) -> DataFrame:
     return rows.toDF(*names, *rows.columns[len(names):]) if names else rows
 
 
+def inferred(reader: DataFrameReader, texts: DataFrame) -> StructType:
+    """Schema of JSON documents, one to a row, found as in files of them.
+
+    Spark's own search over whole files packs them by size alone, and what it does for each grows with the number of files in its
+    task: thousands of small files, in one or two tasks, take time with the square of their number.
+    """
+    strings = getattr(texts._jdf, "as")(texts.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING())
+    return StructType.fromJson(json.loads(reader._jreader.json(strings).schema().json()))
+
+
 def scan_json(spark: SparkSession, path: str, options: dict) -> DataFrame:
     """JSON objects, one to a line or as documents or arrays of whole files; without ``format`` the first line tells which."""
     layout, columns = options.pop("format", "auto"), options.pop("columns", None)
@@ -162,9 +174,18 @@ def scan_json(spark: SparkSession, path: str, options: dict) -> DataFrame:
             layout = "newline_delimited" if head and isinstance(json.loads(head[0]), dict) else "array"
         except ValueError:
             layout = "array"
-    reader, at = located(spark.read.option("multiLine", layout not in ("newline_delimited", "nd")), path)
-    reader = reader.option("mode", "DROPMALFORMED" if options.pop("ignore_errors", False) else "FAILFAST")
-    return (reader.schema(ddl(columns)) if columns else reader).json(at)
+    whole = layout not in ("newline_delimited", "nd")
+    mode = "DROPMALFORMED" if options.pop("ignore_errors", False) else "FAILFAST"
+    reader, at = located(spark.read.options(multiLine=whole, mode=mode), path)
+    if columns:
+        return reader.schema(ddl(columns)).json(at)
+    if whole:
+        texts = located(spark.read, path)[0].text(at, wholetext=True)
+        found = inferred(spark.read.options(multiLine=True, mode=mode), texts.select("value"))
+        places = {f.name.lower(): f.dataType for f in texts.schema.fields[1:]}  # directories' names give the types of their columns
+        fields = [StructField(f.name, places.get(f.name.lower(), f.dataType)) for f in found.fields]
+        reader = reader.schema(StructType(fields)) if fields else reader
+    return reader.json(at)
 
 
 def scan_parquet(spark: SparkSession, path: str, options: dict) -> DataFrame:
@@ -190,7 +211,8 @@ def scanned(spark: SparkSession, function: str, plain: list[object], named: dict
     options.pop("auto_detect", None)
     for path in paths:
         own = {**options, "union_by_name": by_name}
-        rows = SCANS[function](spark, path, own)
+        with grouped_listing(spark):
+            rows = SCANS[function](spark, path, own)
         own.pop("union_by_name", None)
         if own:
             raise ValueError(f"{function} does not know {', '.join(own)}")
