@@ -186,3 +186,19 @@ def test_directories_are_listed_in_a_few_tasks(spark, tmp_path):
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(str(tmp_path)) for s in tracker.getJobInfo(j).stageIds]
     assert stages and max(s.numTasks for s in stages) <= context.defaultParallelism * 8
     assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+
+
+def test_the_driver_holds_no_directories(spark, tmp_path, monkeypatch):
+    for k in range(300):
+        put(tmp_path, f"symbol={k}/deep/_raw.json", "x" * k)
+    put(tmp_path, "plain.json", "y")
+    rows, create = [], type(spark).createDataFrame
+
+    def counted(self, data, *rest, **named):
+        rows.append(len(data))
+        return create(self, data, *rest, **named)
+    monkeypatch.setattr(type(spark), "createDataFrame", counted)
+    one = files.fingerprint(spark, str(tmp_path)).first()
+    assert (one["file_count"], one["total_size"]) == (301, 1 + sum(range(300)))
+    assert sorted(len(r["raw"]) for r in files.read_payloads(spark, [str(tmp_path)], "_raw*").collect()) == list(range(300))
+    assert max(rows) == 1
